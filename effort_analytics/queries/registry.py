@@ -36,8 +36,7 @@ class Query:
             return None
         cols = ", ".join(f'CAST(q."{c}" AS {_SQL_TYPES[t]}) AS "{c}"' for c, t in self.columns)
         body = self.sql.strip().rstrip(";")
-        return with_ctes(f"SELECT {cols} FROM ({body}) q") if "WITH " not in body[:5] else \
-            f"SELECT {cols} FROM ({body}) q"
+        return with_ctes(f"SELECT {cols} FROM ({body}) q")
 
 
 REGISTRY: dict[str, Query] = {}
