@@ -1,0 +1,23 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def balance_scan(df: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """Spread a scan that yields far fewer splits than the cluster has cores.
+
+    A large table stored as one file with one row group is read by a single
+    task, and every narrow step after it (parsing, derivations, map-side
+    joins) stays on that one core. When the scan has fewer than half as many
+    splits as the default parallelism, a round-robin repartition spreads it;
+    on real data (many files, splits >> cores) this is a no-op, so no shuffle
+    is added at scale.
+    """
+    spark = df.sparkSession
+    target = parallelism or spark.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    if n * 2 < target:
+        return df.repartition(target)
+    return df

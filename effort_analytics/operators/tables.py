@@ -78,5 +78,8 @@ def union_by_name_evolve(*dfs: DataFrame) -> DataFrame:
 
 
 def empty_like(df: DataFrame) -> DataFrame:
-    """Same schema, no rows (``SELECT * INTO #T FROM t WHERE 1 = 2``)."""
-    return df.sparkSession.createDataFrame([], df.schema)
+    """Same schema, no rows (``SELECT * INTO #T FROM t WHERE 1 = 2``).
+
+    Kept as a plan with a false filter, so the optimizer knows it is empty and
+    prunes joins against it."""
+    return df.where(F.lit(False))

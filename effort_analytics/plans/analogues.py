@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .calendar import calendar_rows_bound, generate_calendar
+from ..operators.partitioning import balance_scan
+from ..operators.tables import empty_like
 from .refine import (refine_buckets, refine_leaves, refine_members, refine_planner_codes,
                      refine_productivity_types, unified_tasks, load_tasks)
 
@@ -39,17 +41,64 @@ LEADS = "Brand#1"          # plays the leads planner code
 ADMIN_TYPE = "ECONOMY"     # part type that plays the 'Admin' bucket
 
 
+# Declared schemas of the driver tables used here (explicit, not inferred)
+SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+# tables that grow with the scale factor (scans spread when under-split)
+FACT_TABLES = {"lineitem", "orders", "events"}
+
+
 class Tables:
-    """Lazy access to the driver tables of one scale-factor folder."""
+    """Lazy access to the driver tables of one scale-factor folder.
+
+    Each table is opened once per instance, and each derived input is built
+    once (``memo``), so a query plan that uses, say, the members table in four
+    places refers to one analysed DataFrame instead of four copies -- this keeps
+    driver-side analysis and footer reads from growing with plan size.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._cache:
+            reader = self.spark.read
+            if name in SCHEMAS:  # declared schema: no footer-reading job per open
+                reader = reader.schema(SCHEMAS[name])
+            df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+            if name in FACT_TABLES:
+                df = balance_scan(df)
+            self._cache[name] = df
+        return self._cache[name]
+
+
+def memo(fn):
+    """Build a derived input once per :class:`Tables` instance."""
+    key = f"__{fn.__name__}"
+
+    def wrapper(t: "Tables") -> DataFrame:
+        if key not in t._cache:
+            t._cache[key] = fn(t)
+        return t._cache[key]
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
 
 
 def _s(c) -> F.Column:
@@ -62,6 +111,7 @@ def _d(c) -> F.Column:
 
 # -- raw sources -------------------------------------------------------------
 
+@memo
 def raw_members(t: Tables) -> DataFrame:
     s, n = t.supplier, t.nation
     j = s.join(n, s.s_nationkey == n.n_nationkey)
@@ -80,12 +130,14 @@ def raw_members(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def raw_roles(t: Tables) -> DataFrame:
     n, r = t.nation, t.region
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_name").alias("JobTitle"), F.col("r_name").alias("Group"))
 
 
+@memo
 def raw_planner_tasks(t: Tables) -> DataFrame:
     l = t.lineitem.where(F.col("l_returnflag") != "R")
     p = t.part
@@ -110,6 +162,7 @@ def raw_planner_tasks(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def raw_issues(t: Tables) -> DataFrame:
     o = t.orders
     k = F.col("o_orderkey")
@@ -135,6 +188,7 @@ def raw_issues(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def raw_leaves(t: Tables) -> DataFrame:
     l = t.lineitem.where(F.col("l_returnflag") == "R")
     s = t.supplier
@@ -156,6 +210,7 @@ def raw_leaves(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def raw_buckets(t: Tables) -> DataFrame:
     ty = t.part.select("p_type").distinct()
     return ty.select(
@@ -165,6 +220,7 @@ def raw_buckets(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def raw_planner_codes(t: Tables) -> DataFrame:
     b = t.part.select("p_brand").distinct()
     b = b.where(F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)).try_cast("int") % 3 != 0)
@@ -172,6 +228,7 @@ def raw_planner_codes(t: Tables) -> DataFrame:
                     F.concat(F.lit("Code "), F.col("p_brand")).alias("Name"))
 
 
+@memo
 def raw_productivity_types(t: Tables) -> DataFrame:
     ty = t.part.select("p_type").distinct()
     buckets = ty.select(
@@ -186,35 +243,41 @@ def raw_productivity_types(t: Tables) -> DataFrame:
 
 # -- refined tables ------------------------------------------------------------
 
+@memo
 def members(t: Tables) -> DataFrame:
     return refine_members(raw_members(t), raw_roles(t), at=RUN_AT)
 
 
+@memo
 def leaves(t: Tables) -> DataFrame:
     return refine_leaves(raw_leaves(t), at=RUN_AT)
 
 
+@memo
 def buckets(t: Tables) -> DataFrame:
     return refine_buckets(raw_buckets(t), at=RUN_AT)
 
 
+@memo
 def planner_codes(t: Tables) -> DataFrame:
     return refine_planner_codes(raw_planner_codes(t), at=RUN_AT)
 
 
+@memo
 def productivity_types(t: Tables) -> DataFrame:
     return refine_productivity_types(raw_productivity_types(t), at=RUN_AT)
 
 
+@memo
 def incoming_tasks(t: Tables) -> DataFrame:
     return unified_tasks(raw_planner_tasks(t), raw_issues(t), members(t), at=RUN_AT)
 
 
+@memo
 def tasks(t: Tables) -> DataFrame:
     """The refined task table: the unified load upserted into an empty table."""
     incoming = incoming_tasks(t)
-    empty = t.spark.createDataFrame([], incoming.schema)
-    return load_tasks(empty, incoming)
+    return load_tasks(empty_like(incoming), incoming)
 
 
 def calendar(spark: SparkSession) -> DataFrame:
