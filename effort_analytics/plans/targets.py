@@ -81,7 +81,10 @@ def expected_hours(members: DataFrame, calendar: DataFrame, as_of: dt.date,
         first_m, last_m = months
         lo = F.greatest(lo, F.lit(first_m))
         hi = F.least(hi, F.last_day(F.lit(last_m)))
-    clipped = (members.select("WorkdayID", lo.alias("lo"), hi.alias("hi"))
+    # greatest/least skip NULLs, so a missing end must be rejected explicitly
+    # (BETWEEN with a NULL bound matches nothing)
+    clipped = (members.where(F.col("StartDate").isNotNull() & F.col("EndDate").isNotNull())
+               .select("WorkdayID", lo.alias("lo"), hi.alias("hi"))
                .where(F.col("lo") <= F.col("hi")))
     member_months = clipped.select(
         "WorkdayID", "lo", "hi",

@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # PySpark 4 records the Python call site of every API call for error
+    # messages (several JVM round trips each); plans here are built from
+    # hundreds of calls, so keep plan construction cheap.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
