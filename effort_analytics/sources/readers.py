@@ -71,6 +71,9 @@ def read_workbooks(spark: SparkSession, path: str, sheet: str, columns, *,
     """
     columns = list(columns)
     schema = string_schema(columns + ([file_column] if file_column else []))
+    # ship the parser with the task closure, so executors need no install of this package
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(xlsx)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower()).load(path)
              .select("path", "content"))
