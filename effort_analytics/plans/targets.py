@@ -68,11 +68,13 @@ def expected_hours(members: DataFrame, calendar: DataFrame, as_of: dt.date,
     ``months`` optionally restricts the output to ``[first, last]`` month starts.
     """
     days = countable_days(calendar, as_of, min_year)
-    dom = F.dayofmonth("DateShort")
+    # per month, the set of countable days-of-month (at most 31 values, so a
+    # bounded aggregate) folded into cum[k] = countable days with day <= k
     month_table = (days.groupBy(year_month("DateShort").alias("YearMonth"))
-                   .agg(*[F.sum(F.when(dom <= k, 1).otherwise(0)).alias(f"c{k}") for k in range(1, 32)])
-                   .select("YearMonth",
-                           F.array(F.lit(0), *[F.col(f"c{k}") for k in range(1, 32)]).alias("cum")))
+                   .agg(F.collect_set(F.dayofmonth("DateShort")).alias("doms"))
+                   .select("YearMonth", F.transform(
+                       F.sequence(F.lit(0), F.lit(31)),
+                       lambda k: F.size(F.filter("doms", lambda d: d <= k))).alias("cum")))
     # Clip to the countable range before expanding: from 1 Jan of min_year to
     # as_of (an open end of 9999-12-31 becomes as_of, never exploded).
     lo = F.greatest(F.col("StartDate"), F.lit(dt.date(min_year, 1, 1)))

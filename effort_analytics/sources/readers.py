@@ -41,7 +41,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, h
         r = r.option(k, v)
     if schema is not None:
         r = r.schema(schema)
-    else:
+    elif "inferSchema" not in options:
         r = r.option("inferSchema", False)
     return r.csv(path)
 

@@ -76,6 +76,8 @@ def replace_table(df: DataFrame, base_path: str, table: str | None = None, *, fm
     version = f"{base_path.rstrip('/')}/v={uuid.uuid4().hex}"
     df.write.mode("errorifexists").format(fmt).save(version)
     if table:
+        if "." in table:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{table.split('.')[0]}`")
         if spark.catalog.tableExists(table):
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
             spark.sql(f"REFRESH TABLE {table}")
