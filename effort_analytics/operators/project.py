@@ -24,7 +24,8 @@ def with_audit(df: DataFrame, uploader: str = C.UPLOADER, at: dt.datetime | None
                first: bool = True) -> DataFrame:
     """Add ``UploadDate`` (run timestamp, a parameter so results are repeatable)
     and ``UploadBy``; by default as the leading columns."""
-    ts = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    # text literal: read in the session time zone, so it shows back unchanged
+    ts = F.current_timestamp() if at is None else F.lit(at.isoformat(sep=" ")).cast("timestamp")
     audit = [ts.alias("UploadDate"), F.lit(uploader).alias("UploadBy")]
     rest = [F.col(c) for c in df.columns if c not in ("UploadDate", "UploadBy")]
     return df.select(*(audit + rest if first else rest + audit))

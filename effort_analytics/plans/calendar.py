@@ -59,7 +59,7 @@ def _calendar_columns(d: Column, run_at: Column, run_by: str) -> list[Column]:
 def _run_at(run_at) -> Column:
     if run_at is None:
         return F.current_timestamp()
-    return F.lit(run_at).cast("timestamp")
+    return F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
 
 
 def days_between(spark: SparkSession, start: dt.date, end_exclusive: dt.date) -> DataFrame:

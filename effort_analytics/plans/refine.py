@@ -33,7 +33,7 @@ TASKS_DDL = """
 
 
 def _audit_cols(uploader: str, at: dt.datetime | None):
-    ts = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    ts = F.current_timestamp() if at is None else F.lit(at.isoformat(sep=" ")).cast("timestamp")
     return [ts.alias("UploadDate"), F.lit(uploader).alias("UploadBy")]
 
 

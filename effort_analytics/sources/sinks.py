@@ -113,3 +113,54 @@ def export_single_csv(df: DataFrame, file_path: str, *, header: bool = True) ->
         out.close()
     fs.delete(Path(staging), True)
     return file_path
+
+
+def with_key_bucket(df: DataFrame, keys, buckets: int, column: str = "key_bucket") -> DataFrame:
+    """Add the storage bucket of each row's key: ``pmod(xxhash64(keys), buckets)``."""
+    from pyspark.sql import functions as F
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.withColumn(column, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def upsert_partitions(source: DataFrame, path: str, keys, *, buckets: int = 256,
+                      column: str = "key_bucket", fmt: str = "parquet") -> None:
+    """Keyed upsert into a table stored partitioned by key bucket, rewriting only
+    the buckets the source touches.
+
+    1. the source rows get their bucket; the set of touched buckets is small
+       (at most ``buckets`` values);
+    2. only those target partitions are read (a semi join on the partition
+       column, pruned at planning/run time), merged with the source
+       (:func:`operators.upsert`);
+    3. the merge is checkpointed to ``spark.checkpoint.dir`` (reliable, cuts
+       the lineage to the partitions it replaces), then written back with
+       dynamic partition overwrite -- untouched buckets are not rewritten.
+
+    The first load (no table at ``path`` yet) writes every bucket. The source
+    must hold one row per non-NULL key (see ``operators.dedup_latest``).
+    """
+    from pyspark.sql import functions as F
+    from ..operators.tables import upsert
+    from ..session import shared_dir
+    spark = source.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    src = with_key_bucket(source, keys, buckets, column)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    exists = p.getFileSystem(conf).exists(p)
+    if exists:
+        target = spark.read.format(fmt).load(path)
+        touched = src.select(column).distinct()
+        current = target.join(touched, column, "left_semi")
+        merged = upsert(current.select(*src.columns), src, keys)
+    else:
+        merged = src
+    shared_dir(spark, allow_local=spark.sparkContext.master.startswith("local"))
+    merged = merged.checkpoint(eager=True)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        merged.write.mode("overwrite").format(fmt).partitionBy(column).save(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

@@ -90,3 +90,21 @@ def test_table_specs_from_config(tmpdir_path):
     specs = load_table_specs(cfg)
     assert specs["tasks"].src_paths == ("a/", "b/") and specs["tasks"].qualified_name == "db.tasks"
     assert specs["buckets"].enabled is False and specs["buckets"].src_paths == ("c/",)
+
+
+def test_upsert_partitions_rewrites_only_touched_buckets(spark, tmpdir_path):
+    from effort_analytics.operators import upsert
+    from effort_analytics.sources import upsert_partitions
+    path = os.path.join(tmpdir_path, "tasks")
+    target = spark.range(200).select(F.col("id").cast("string").alias("TaskID"), F.col("id").alias("Hours"))
+    upsert_partitions(target, path, ["TaskID"], buckets=16)
+    before = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("key_bucket=")}
+    source = spark.createDataFrame([("5", 500), ("7", 700), ("new", 1)], "TaskID string, Hours bigint")
+    upsert_partitions(source, path, ["TaskID"], buckets=16)
+    got = sorted(map(tuple, spark.read.parquet(path).select("TaskID", "Hours").collect()))
+    want = sorted(map(tuple, upsert(target, source, ["TaskID"]).collect()))
+    assert got == want
+    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("key_bucket=")}
+    touched = {r.key_bucket for r in spark.read.parquet(path).where("TaskID in ('5','7','new')").collect()}
+    unchanged = [d for d in before if int(d.split("=")[1]) not in touched]
+    assert unchanged and all(before[d] == after[d] for d in unchanged)
