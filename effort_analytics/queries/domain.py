@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..plans import analogues as A
 from ..plans import calendar as cal_plans
-from ..plans import facts, refine, targets
+from ..plans import facts, targets
 from .registry import query
-from .sql import AS_OF, LEADS, MIN_YEAR, RUN_YEAR
+from .sql import LEADS, MIN_YEAR, RUN_YEAR
 
 RUN_YEAR_RANGE = (dt.date(A.RUN_YEAR, 1, 1), dt.date(A.RUN_YEAR, 12, 31))
 

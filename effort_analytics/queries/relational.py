@@ -13,7 +13,7 @@ from ..operators.joins import anti_missing, join_bounded, semi_existing
 from ..plans import analogues as A
 from ..plans import facts, targets
 from .registry import query
-from .sql import datekey_sql, ym_sql
+from .sql import ym_sql
 
 # -- filters --------------------------------------------------------------------
 

@@ -279,10 +279,6 @@ FROM final_tbl"""
 _WORD = re.compile(r"\b([a-z_]+)\b")
 
 
-def _deps(body: str) -> list[str]:
-    return [w for w in dict.fromkeys(_WORD.findall(body)) if w in CTE]
-
-
 def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     """``WITH`` clause holding every CTE the body (transitively) uses, in order."""
     ctes = dict(CTE)
