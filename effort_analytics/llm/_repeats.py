@@ -66,11 +66,13 @@ def candidates(docs: DataFrame, win: Windows) -> DataFrame:
     different surroundings of the key. ``docs`` is :func:`_common.keyed`. Staged."""
     found = docs.select("d", "h", "text").mapInArrow(_find(win), "d long, p long, key long, full long")
     place = F.struct("d", "p")
-    shared = found.groupBy("key").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("key")
+    # Tables to join with are written first: Spark can split a hot key in a join of two scans, but
+    # not where one side is still being aggregated.
+    shared = staged(found.groupBy("key").count().where("count > 1").select("key"), "keys")
     found = staged(found.join(shared, "key", "left_semi"), "anchors")
     same = found.groupBy("key", "full").agg(F.min(place).alias("x"), F.max(place).alias("y"))
     kinds = same.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
-    same = same.join(kinds, "key").select("key", "full", "x", (F.col("x") != F.col("y")).alias("many"), "kinds")
+    same = staged(same.join(kinds, "key").select("key", "full", "x", (F.col("x") != F.col("y")).alias("many"), "kinds"), "surroundings")
     out = found.join(same, ["key", "full"]).select("d", "p", "key", (place == F.col("x")).alias("first"), "many", "kinds")
     return staged(out, "candidates")
 
