@@ -1,12 +1,67 @@
-"""Corpus preparation: stages over ``documents``, each written as Parquet and read again."""
+"""Corpus preparation: stages over ``documents``, each written as Parquet and read again.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. All
+but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from effort_analytics.llm import minhash_dedup, mixing, pseudonyms, sentencepiece_codec, toxicity
+from effort_analytics.llm._common import doc_key, staged, table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _documents(df: DataFrame) -> DataFrame:
+    return df.select(*COLUMNS)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5. All labelled rows may be learnt from. A NULL
+    text is scored as an empty one and stays NULL."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
+    rows = _documents(docs).withColumn("_own", F.col("text"))
+    kept = model.score(rows).where("score < 0.5")
+    return _documents(kept.withColumnRenamed("_own", "text"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id. Rows without an
+    id are kept if they are like no document with one; repeated rows stay or go together."""
+    groups = minhash_dedup.near_duplicates(docs, k=5, percent=80, row_keys=True)
+    gone = staged(groups.where("NOT kept").select("d", "h").distinct(), "gone")
+    d, h = doc_key(F.col("doc_id"), F.coalesce("text", F.lit("")))
+    rows = _documents(docs).select("*", d, h)
+    return _documents(rows.join(gone, ["d", "h"], "left_anti"))
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal numbers, dates and names replaced by pseudonyms; n_chars follows the text."""
+    out = pseudonyms.pseudonymise(_documents(docs))
+    return _documents(out.withColumn("n_chars", F.when(F.col("pii_found") > 0, F.length("text")).otherwise(F.col("n_chars"))))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled by their calibrated probabilities."""
+    return _documents(mixing.calibrated(_documents(docs)).where("_kept"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_chars, n_tokens, ids, and whether the ids decode to the text."""
+    return sentencepiece_codec.encode_documents(docs).select("doc_id", "n_chars", "n_tokens", "ids", "exact")
+
 
-STAGES: list = []
+STAGES = [("toxicity", clean), ("near_dedup", distinct), ("pii", private), ("mixing", mixed), ("sentencepiece", encoded)]
+#: SQL can't express a fitted classifier or Viterbi decoding; tests/llm holds brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """All stages on ``documents``; each result is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -142,13 +142,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, per_cent
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: int = 32, rows: int = 5,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", row_keys: bool = False) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest id that confirmed links
     reach, its own included), kept (whether that is its own).
 
     Links: ``100 * intersection >= percent * union`` of the shingle sets. NULL, empty and blank
     texts have an empty set and no links. Rows that share an id are one node. A NULL id sorts
-    last: alone, its component is NULL and it is kept. Other columns are left out.
+    last: alone, its component is NULL and it is kept. Other columns are left out; ``row_keys`` adds the
+    internal identity (d, h) of each row.
     """
     docs = keyed(docs, id_col, text_col)
     signed = staged(docs.mapInArrow(_sign(k, bands, rows), "d long, h long, doc_id long, n long, x long, y long, keys array<long>"), "signed")
@@ -178,10 +179,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
         label = components(links)
         done = next_.groupBy("key").agg(F.max("u").alias("u"))
         left, centres = left.join(done, "key").where("d > u").select("key", "d", "n"), 2 * centres
-    out = signed.join(sets, ["x", "y", "n"], "left").select("doc_id", "n", F.coalesce("rep", "d").alias("d")).join(label, "d", "left")
+    out = signed.join(sets, ["x", "y", "n"], "left").select(
+        "doc_id", "n", F.col("d").alias("row_d"), F.col("h").alias("row_h"), F.coalesce("rep", "d").alias("d")).join(label, "d", "left")
     c = F.coalesce("c", "d")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(c != NO_ID, c).alias("component_id"),
-                      (F.coalesce("doc_id", F.lit(NO_ID)) == c).alias("kept"))
+                      (F.coalesce("doc_id", F.lit(NO_ID)) == c).alias("kept"), *([F.col("row_d").alias("d"), F.col("row_h").alias("h")] if row_keys else []))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
