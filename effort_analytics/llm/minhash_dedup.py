@@ -5,11 +5,12 @@
   takes that of a bin it probes in a fixed pseudo-random order (optimal densification).
 * Documents with equal sets are one node. Each node goes to ``bands`` buckets.
 * A bucket proposes the edges of a star: its smallest node against all others. Links are confirmed
-  on the full sets. What a star can't see - links between two nodes of which one isn't like its
-  centre - is left to further rounds: in buckets that still hold nodes of several components, the
-  next 1, 2, 4, ... smallest nodes are centres for the later nodes of other components, until no
-  such bucket is left. So every pair that shares a bucket is either confirmed or refuted or
-  already joined, while buckets of copies cost a star each.
+  on the full sets.
+* A star can't see links between two nodes of which neither is like its centre. Buckets whose
+  nodes aren't in one component after the stars are therefore solved exactly: their nodes are
+  gathered in clusters (nodes that such buckets join; beyond ``cluster`` nodes, single buckets) and
+  dealt to pairs of blocks of ``BLOCK`` nodes at most, in which the sizes of all intersections come from a
+  product of incidence matrices. A pair of blocks emits a spanning forest of its links, never pairs.
 * Components come from star contraction on the confirmed links.
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _rolling as R
@@ -29,6 +30,8 @@ IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 _U = np.uint64
+#: Nodes of a block in the exact step.
+BLOCK = 256
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -141,7 +144,94 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, per_cent
     return rows.mapInArrow(_confirm(k, percent), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: int = 32, rows: int = 5,
+def overlaps(sets: list[np.ndarray], others: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets with all others, by products of 0/1 matrices of so
+    many columns at a time."""
+    both = [*sets, *others]
+    row = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    _, column, count = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    column = (np.cumsum(count > 1) - 1)[column[shared]]
+    row = row[shared]
+    by = np.argsort(column, kind="stable")
+    row, column = row[by], column[by]
+    out = np.zeros((len(sets), len(others)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        s, e = np.searchsorted(column, (start, start + columns))
+        m = np.zeros((len(both), columns), np.float32)
+        m[row[s:e], column[s:e] - start] = 1
+        out += m[:len(sets)] @ m[len(sets):].T
+    return out.astype(np.int64)
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (i, j) of a spanning forest of a symmetric 0/1 matrix."""
+    todo, edges = np.ones(len(linked), bool), []
+    for root in range(len(linked)):
+        if not todo[root]:
+            continue
+        todo[root], queue = False, [root]
+        while queue:
+            i = queue.pop()
+            for j in np.flatnonzero(linked[i] & todo).tolist():
+                todo[j] = False
+                edges.append((i, j))
+                queue.append(j)
+    return edges
+
+
+def _solve_blocks(k: int, percent: int):
+    """Links within and between the two blocks of rows (g, i, j, d, b, text), sorted by (g, i, j)."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def solve(nodes):
+        ids, sets = [d for d, _, _ in nodes], [s for _, _, s in nodes]
+        block = np.array([b for _, b, _ in nodes])
+        same = block.min() == block.max()
+        one = np.flatnonzero(block == block.min())
+        two = one if same else np.flatnonzero(block != block.min())
+        n = np.array([len(s) for s in sets])
+        o = overlaps([sets[x] for x in one], [sets[x] for x in two])
+        linked = np.zeros((len(ids), len(ids)), bool)
+        linked[np.ix_(one, two)] = 100 * o >= percent * (n[one][:, None] + n[two][None, :] - o)
+        edges = forest(linked | linked.T)
+        return batch_of(schema, u=[ids[i] for i, _ in edges], v=[ids[j] for _, j in edges])
+
+    def run(batches):
+        at, nodes = None, []
+        for batch in batches:
+            who = list(zip(*(batch.column(c).to_pylist() for c in ("g", "i", "j", "d", "b")), strict=True))
+            for i, j, data, off in slices(batch.column("text")):
+                values, cut = shingle_sets(data, off, k)
+                for r in range(i, j):
+                    if who[r][:3] != at:
+                        if len(nodes) > 1:
+                            yield solve(nodes)
+                        at, nodes = who[r][:3], []
+                    nodes.append((who[r][3], who[r][4], values[cut[r - i]:cut[r - i + 1]]))
+        if len(nodes) > 1:
+            yield solve(nodes)
+    return run
+
+
+def _exact(left: DataFrame, texts: DataFrame, k: int, percent: int, cluster: int) -> DataFrame:
+    """Links among the nodes of buckets (key, d, u: smallest node)."""
+    joined = components(left.select(F.col("d").alias("u"), F.col("u").alias("v")))
+    own = left.select("d").distinct().join(joined, "d", "left").select("d", F.coalesce("c", "d").alias("g"))
+    sizes = staged(own.groupBy("g").agg(F.count(F.lit(1)).alias("m")), "clusters")
+    small = own.join(sizes.where(F.col("m") <= cluster), "g").select("g", "d", "m")
+    big = own.join(sizes.where(F.col("m") > cluster), "g").select("d")
+    keys = left.join(big, "d", "left_semi").select(F.col("key").alias("g"), "d").distinct()
+    many = staged(keys.groupBy("g").agg(F.count(F.lit(1)).alias("m")), "large")
+    nodes = small.unionByName(keys.join(many, "g").select("g", "d", "m"))
+    blocks = F.ceil(F.col("m") / BLOCK)
+    nodes = nodes.withColumn("b", F.pmod(F.xxhash64("d"), blocks)).select("g", "d", "b", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("x"))
+    nodes = nodes.select("g", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), "b", "d")
+    rows = nodes.join(texts, "d").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "d")
+    return rows.mapInArrow(_solve_blocks(k, percent), "u long, v long")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: int = 32, rows: int = 5, cluster: int = 4096,
                     id_col: str = "doc_id", text_col: str = "text", row_keys: bool = False) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest id that confirmed links
     reach, its own included), kept (whether that is its own).
@@ -164,21 +254,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     pairs = left.where("d <> u").join(sizes, ["key", "u"]).where(like).select("u", F.col("d").alias("v")).distinct()
     links = staged(confirmed(staged(pairs, "pairs"), texts, k, percent), "links")
     label = components(links)
-    left, centres = left.where("d <> u").select("key", "d", "n"), 1
-    while True:  # buckets with nodes of several components
-        left = left.join(label, "d", "left").select("key", "d", "n", F.coalesce("c", "d").alias("c"))
-        mixed = left.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
-        left = staged(left.join(mixed, "key", "left_semi"), "buckets")
-        if left.isEmpty():
-            break
-        place = Window.partitionBy("key").orderBy("d", "n")
-        next_ = staged(left.withColumn("i", F.row_number().over(place)).where(F.col("i") <= centres)
-                       .select("key", F.col("d").alias("u"), F.col("n").alias("m"), F.col("c").alias("e")), "centres")
-        pairs = left.join(next_, "key").where("d > u AND c <> e").where(like).select("u", F.col("d").alias("v")).distinct()
-        links = staged(links.unionByName(confirmed(staged(pairs, "pairs"), texts, k, percent)), "links")
+    left = left.where("d <> u").select("key", "d").join(label, "d", "left").select("key", "d", F.coalesce("c", "d").alias("c"))
+    mixed = staged(left.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("d").alias("u")).where("x <> y").select("key", "u"), "mixed")
+    left = staged(left.join(mixed, "key").select("key", "d", "u"), "open")
+    if not left.isEmpty():
+        links = staged(links.unionByName(_exact(left, texts, k, percent, cluster)), "links")
         label = components(links)
-        done = next_.groupBy("key").agg(F.max("u").alias("u"))
-        left, centres = left.join(done, "key").where("d > u").select("key", "d", "n"), 2 * centres
     out = signed.join(sets, ["x", "y", "n"], "left").select(
         "doc_id", "n", F.col("d").alias("row_d"), F.col("h").alias("row_h"), F.coalesce("rep", "d").alias("d")).join(label, "d", "left")
     c = F.coalesce("c", "d")
