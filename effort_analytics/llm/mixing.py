@@ -5,7 +5,8 @@
 2. The cells' weights are raked: scaled so that each source's sum meets its target, then each
    language's, each topic's, and again, until no margin is off by more than ``tolerance`` or
    ``rounds`` have passed. The cell table is written to the shared folder after each round; only
-   the largest error reaches the driver.
+   the largest error reaches the driver. A margin is a window over cells, of which there are as
+   many as combinations of source, language and topic, however many rows there are.
 3. A document is kept with the probability ``keep * weight / tokens`` of its cell, 1 at most, by a
    hash of its id and text: the sample is the same in every run and needs no shuffle. What a
    probability above 1 would have added is the document's ``weight``, so weighted token sums meet
@@ -14,7 +15,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import staged, table
@@ -52,27 +53,25 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], *, rounds: int = 30, t
     """``cells`` with ``w``: weights of the same total as ``tokens``, whose sums over each dimension
     are the targets' shares. ``targets``: for each column a table (column, target). Values without
     a target get weight 0; targets that no cell can meet are shared out among the others."""
-    goals = {}
+    now = cells.withColumn("w", F.col("tokens").cast("double"))
     for name, goal in targets.items():
         met = cells.where("tokens > 0").select(name).distinct().join(goal, name).where("target > 0")
         total = met.agg(F.sum("target").alias("all"))
-        goals[name] = staged(met.join(F.broadcast(total), F.lit(True)).select(name, (F.col("target") / F.col("all")).alias("target")), f"target-{name}")
+        goal = staged(met.join(F.broadcast(total), F.lit(True)).select(name, (F.col("target") / F.col("all")).alias(f"goal{name}")), f"target{name}")
+        now = now.join(goal, name, "left")
     n = cells.agg(F.sum("tokens")).first()[0] or 0
-    now = staged(cells.withColumn("w", F.col("tokens").cast("double")), "cells")
+    now = staged(now.withColumn("n", F.lit(float(n))), "cells")
     for _ in range(rounds if n else 0):
-        error = None
-        for name, goal in goals.items():
-            sums = now.groupBy(name).agg(F.sum("w").alias("s")).join(goal, name, "left")
-            factor = sums.select(name, F.when(F.col("s") > 0, F.coalesce("target", F.lit(0.0)) * n / F.col("s")).otherwise(0.0).alias("f"))
-            off = F.when(F.col("w") > 0, F.abs(F.col("f") - 1))
-            now = now.join(factor, name).withColumn("e", F.greatest(off, *(["e"] if error is not None else [F.lit(0.0)]))).withColumn("w", F.col("w") * F.col("f")).drop("f")
-            error = True
-        now = staged(now, "cells")
+        now = now.withColumn("e", F.lit(0.0))
+        for name in targets:
+            sums = F.sum("w").over(Window.partitionBy(name))
+            now = now.withColumn("f", F.when(sums > 0, F.coalesce(f"goal{name}", F.lit(0.0)) * F.col("n") / sums).otherwise(0.0))
+            now = now.withColumn("e", F.when(F.col("w") > 0, F.greatest("e", F.abs(F.col("f") - 1))).otherwise(F.col("e"))).withColumn("w", F.col("w") * F.col("f"))
+        now = staged(now.drop("f"), "cells")
         worst = now.agg(F.max("e")).first()[0]
-        now = now.drop("e")
         if worst is None or worst < tolerance:
             break
-    return now
+    return now.select(*cells.columns, "w")
 
 
 def calibrated(docs: DataFrame, *, keep: float = 0.9, power: float = 0.9, targets: dict[str, DataFrame] | None = None,
