@@ -18,7 +18,7 @@ from decimal import Decimal
 # ---------------------------------------------------------------------------
 
 # audit
-UPLOADER = "SVC_MBPSDW"
+UPLOADER = "svc_load"
 
 # planner progress vocabulary (text progress -> status)
 PLANNER_PROGRESS_STATUS = {"0": "Not Started", "50": "In Progress", "100": "COMPLETED"}

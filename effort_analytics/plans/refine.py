@@ -24,13 +24,6 @@ TASK_COLUMNS = [
     "CompletedDate", "TC_ProductiveDate", "Hours",
 ]
 
-TASKS_DDL = """
-    UploadDate TIMESTAMP, UploadBy STRING, Title STRING, TC_PlannerCode STRING, TaskID STRING,
-    BucketID STRING, Progress BIGINT, TC_ProgressDescription STRING, CreatedByOffice365ID STRING,
-    CreatedDate DATE, StartDate DATE, DueDate DATE, CompletedDate DATE, TC_ProductiveDate DATE,
-    Hours DECIMAL(10,2)
-"""
-
 
 def _audit_cols(uploader: str, at: dt.datetime | None):
     ts = F.current_timestamp() if at is None else F.lit(at.isoformat(sep=" ")).cast("timestamp")

@@ -129,7 +129,7 @@ def planned_leave_deduction(spark, sf_dir):
        "UploadBy:string, Office365ID:string, WorkdayID:bigint, GivenName:string, Surname:string, "
        "AssignedTo:string, JobTitle:string, RoleGroup:string, ManagerName:string, Squad:string, "
        "StartDate:date, EndDate:date, IsActive:bigint",
-       "SELECT 'SVC_MBPSDW' AS UploadBy, * FROM members", covers="C9 J1 N1 N2 X18 P5")
+       "SELECT 'svc_load' AS UploadBy, * FROM members", covers="C9 J1 N1 N2 X18 P5")
 def refine_members(spark, sf_dir):
     return A.members(A.Tables(spark, sf_dir))
 
@@ -138,7 +138,7 @@ def refine_members(spark, sf_dir):
        "UploadBy:string, TimeOffDate:date, DayoftheWeek:string, Worker:string, EmployeeID:bigint, "
        "TimeOffAbsenceTable:string, TimeOffTypeforTimeOffEntry:string, Unit:double, TC_Hours:double, "
        "UnitofTime:string",
-       "SELECT 'SVC_MBPSDW' AS UploadBy, * FROM leaves", covers="C17 C8 X12 X17")
+       "SELECT 'svc_load' AS UploadBy, * FROM leaves", covers="C17 C8 X12 X17")
 def refine_leaves(spark, sf_dir):
     return A.leaves(A.Tables(spark, sf_dir))
 
@@ -211,8 +211,8 @@ start_year AS (
   SELECT coalesce((SELECT max(DateYear) FROM existing WHERE DateYear < (SELECT max(DateYear) FROM existing)),
                   1955) AS y),
 fresh AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS DateKey, 1 AS IsCurrent, 'SVC_MBPSDW' AS CreatedBy,
-         'SVC_MBPSDW' AS ModifiedBy, d AS DateShort, year(d) AS DateYear, quarter(d) AS DateQuarter,
+  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS DateKey, 1 AS IsCurrent, 'svc_load' AS CreatedBy,
+         'svc_load' AS ModifiedBy, d AS DateShort, year(d) AS DateYear, quarter(d) AS DateQuarter,
          'Q' || CAST(quarter(d) AS VARCHAR) || '-' || CAST(year(d) AS VARCHAR) AS DateQuarterName,
          month(d) AS DateMonthNum, monthname(d) AS DateMonthName, day(d) AS DateDayNum,
          dayname(d) AS DateDayName, CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS IsWeekend,
@@ -239,8 +239,8 @@ merged AS (
          CASE WHEN o.DateKey IS NOT NULL THEN o.IsHoliday_PH ELSE n.IsHoliday_PH END AS IsHoliday_PH
   FROM existing o FULL OUTER JOIN fresh n ON o.DateKey = n.DateKey),
 sentinels AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS DateKey, 1 AS IsCurrent, 'SVC_MBPSDW' AS CreatedBy,
-         'SVC_MBPSDW' AS ModifiedBy, d AS DateShort, year(d) AS DateYear, quarter(d) AS DateQuarter,
+  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS DateKey, 1 AS IsCurrent, 'svc_load' AS CreatedBy,
+         'svc_load' AS ModifiedBy, d AS DateShort, year(d) AS DateYear, quarter(d) AS DateQuarter,
          'Q' || CAST(quarter(d) AS VARCHAR) || '-' || CAST(year(d) AS VARCHAR) AS DateQuarterName,
          month(d) AS DateMonthNum, monthname(d) AS DateMonthName, day(d) AS DateDayNum,
          dayname(d) AS DateDayName, CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS IsWeekend,

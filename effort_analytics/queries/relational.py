@@ -238,14 +238,14 @@ def set_union_by_name_evolve(spark, sf_dir):
 
 
 @query("proj_rename_drop", "BucketName:string, BucketID:string, IsActive:bigint, UploadBy:string",
-       "SELECT BucketName, BucketID, IsActive, 'SVC_MBPSDW' AS UploadBy FROM buckets",
+       "SELECT BucketName, BucketID, IsActive, 'svc_load' AS UploadBy FROM buckets",
        covers="P2 P3 P4 C18 K9")
 def proj_rename_drop(spark, sf_dir):
     return A.buckets(A.Tables(spark, sf_dir))
 
 
 @query("proj_audit", "Category:string, Type:string, UploadDate:string, UploadBy:string", """
-SELECT Category, "Type", '2001-01-01 06:00:00' AS UploadDate, 'SVC_MBPSDW' AS UploadBy FROM productivity_types""",
+SELECT Category, "Type", '2001-01-01 06:00:00' AS UploadDate, 'svc_load' AS UploadBy FROM productivity_types""",
        covers="P5 P3 C18")
 def proj_audit(spark, sf_dir):
     return A.productivity_types(A.Tables(spark, sf_dir))

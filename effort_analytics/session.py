@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -64,11 +63,3 @@ def shared_dir(spark: SparkSession, *, allow_local: bool = False) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def default_parallelism_hint(spark: SparkSession) -> int:
-    return int(os.environ.get("BENCH_CPUS", spark.sparkContext.defaultParallelism))
