@@ -2,7 +2,7 @@
 
 from .dates import (date_key, day_name, is_weekend, month_name, month_start, quarter_name,
                     to_date_safe, year_month, year_month_text)
-from .numbers import PLAIN_NUMBER, hours_decimal, safe_cast, seconds_to_hours
+from .numbers import PLAIN_NUMBER, hours_decimal, safe_cast, seconds_to_hours, whole_number
 from .status import (code_found_flag, issue_completed_date, issue_productive_date, issue_progress,
                      issue_status, planner_productive_date, planner_progress, planner_status,
                      productivity_class)

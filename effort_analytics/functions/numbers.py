@@ -46,6 +46,19 @@ def seconds_to_hours(text: ColumnOrName) -> Column:
     ).cast(HOURS_TYPE)
 
 
+def whole_number(text: ColumnOrName, to: str = "bigint") -> Column:
+    """Number text to a whole number, the fraction cut off; anything that is not
+    a plain number, and values too wide for ``to`` -> NULL.
+
+    ``50`` 50, ``50.0`` 50, ``1.5`` 1, ``-1.9`` -1, ``.5`` 0, ``' 3 '`` 3;
+    ``''``, ``abc``, ``1e2``, NULL -> NULL.
+    """
+    t = as_col(text)
+    digits = F.regexp_extract(t, r"^\s*([+-]?[0-9]*)", 1)
+    digits = F.when(digits.isin("", "+", "-"), F.lit("0")).otherwise(digits)
+    return F.when(t.rlike(PLAIN_NUMBER), digits.try_cast(to))
+
+
 def safe_cast(text: ColumnOrName, to: str) -> Column:
     """``try_cast`` spelled as a library function (NULL instead of an error)."""
     return as_col(text).try_cast(to)

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ._util import ColumnOrName, as_col
 from .dates import to_date_safe
+from .numbers import whole_number
 from .text import blank_to_null
 
 
 # -- planner source: progress is text '0' / '50' / '100' -------------------
 
 def planner_progress(progress: ColumnOrName) -> Column:
-    return as_col(progress).try_cast("bigint")
+    """Progress text as a whole number; a fraction is cut off."""
+    return whole_number(progress)
 
 
 def planner_status(progress: ColumnOrName, vocabulary: dict | None = None,
@@ -47,14 +49,14 @@ def issue_progress(progress: ColumnOrName, status: ColumnOrName,
                    done: str = C.ISSUE_DONE) -> Column:
     """Numeric progress x 100; else 100 when done; else 0."""
     p, s = as_col(progress), as_col(status)
-    return (F.when(p.try_cast("int").isNotNull(), p.try_cast("bigint") * 100)
+    return (F.when(whole_number(p, "int").isNotNull(), whole_number(p) * 100)
             .when(s == done, F.lit(100).cast("bigint"))
             .otherwise(F.lit(0).cast("bigint")))
 
 
 def issue_status(progress: ColumnOrName, status: ColumnOrName) -> Column:
     p, s = as_col(progress), as_col(status)
-    pn = p.try_cast("int")
+    pn = whole_number(p, "int")
     return (F.when((pn == 0) | (s == C.ISSUE_TODO), C.STATUS_NOT_STARTED)
             .when(s.isin(*C.ISSUE_IN_PROGRESS), C.STATUS_IN_PROGRESS)
             .when((pn == 1) | (s == C.ISSUE_DONE), C.STATUS_COMPLETED)

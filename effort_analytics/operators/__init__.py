@@ -2,8 +2,8 @@
 
 from .joins import anti_missing, join_bounded, semi_existing
 from .project import rename_drop, with_audit
-from .snapshot import latest_path_string_max, latest_snapshot, levels_from_path
+from .snapshot import latest_path_string_max, latest_snapshot, newest_load
 from .tables import (dedup_latest, dedup_latest_window, duplicate_keys, empty_like,
-                     union_by_name_evolve, upsert)
+                     require_unique_keys, row_hash, union_by_name_evolve, upsert)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

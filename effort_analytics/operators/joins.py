@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows under which a side with a *proven* bound is broadcast explicitly. Above
-# it (or with no bound) the plan is left to AQE, which converts to a broadcast
+# Rows under which a side with a *proven* bound is broadcast explicitly (a calendar of
+# 500 years; narrow rows, so some tens of MB at most). Above it (or with no bound) the plan is left to AQE, which converts to a broadcast
 # join only from measured runtime sizes and otherwise keeps sort-merge.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 200_000
 
 
 def join_bounded(big: DataFrame, small: DataFrame, on, *, small_rows_bound: int | None,

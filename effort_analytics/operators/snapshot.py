@@ -11,11 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def levels_from_path(path: Column, root_depth: int, names=("y", "m", "d", "hm")) -> list[Column]:
-    """The four folder names after ``root_depth`` path segments of a file path."""
-    parts = F.split(path, "/")
-    return [F.get(parts, root_depth + i).alias(n) for i, n in enumerate(names)]
+from .joins import DEFAULT_BROADCAST_ROWS
 
 
 def _level_value(c: Column, numeric: bool) -> Column:
@@ -23,20 +19,25 @@ def _level_value(c: Column, numeric: bool) -> Column:
     return c.try_cast("bigint") if numeric else c
 
 
-def latest_snapshot(df: DataFrame, levels=("y", "m", "d", "hm"), by=(), numeric: bool = True) -> DataFrame:
+def latest_snapshot(df: DataFrame, levels=("y", "m", "d", "hm"), by=(), numeric: bool = True,
+                    sources_bound: int | None = None, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of the newest snapshot, per group ``by`` (e.g. per source).
 
     The level-wise maximum of a folder tree equals the maximum of the tuple of
     levels, so it is one ``max(struct(...))`` aggregate (partial, map-side) and
-    a join back on the levels. The join is keyed by all levels, so even a
-    source holding most rows spreads over many tasks, and only the newest
-    snapshot's rows survive.
+    a join back on the levels. Without ``by`` the other side is one row and is
+    broadcast, so the rows stay where they are. With ``by`` it has a row a source;
+    ``sources_bound`` says how many sources there can be, and broadcasts it too.
+    Unbounded, the newest rows of one source share a join key, which adaptive
+    execution splits.
     """
     by = list(by)
     levels = list(levels)
     key = F.struct(*[_level_value(F.col(c), numeric).alias(c) for c in levels])
     newest = df.groupBy(*by).agg(F.max(key).alias("_k"))
     newest = newest.select(*by, *[F.col("_k")[c].alias(f"_max_{c}") for c in levels])
+    if not by or (sources_bound is not None and sources_bound <= limit):
+        newest = F.broadcast(newest)
     cond = [F.col(f"_d.{c}") == F.col(f"_n.{c}") for c in by]
     cond += [_level_value(F.col(f"_d.{c}"), numeric) == F.col(f"_n._max_{c}") for c in levels]
     return df.alias("_d").join(newest.alias("_n"), cond, "left_semi").select(*df.columns)
@@ -48,3 +49,17 @@ def latest_path_string_max(paths: DataFrame, levels=("y", "m", "d", "hm")) -> Da
     for c in levels:
         out = out.join(out.agg(F.max(c).alias(c)), c, "left_semi")
     return out
+
+
+def newest_load(df: DataFrame, column: str = "load_id") -> DataFrame:
+    """Rows of the newest load of a table that keeps every load, without ``column``.
+
+    Each load is a whole snapshot that supersedes the earlier ones, so that adding
+    them up would count a row once a day. Loads compare by their id (ISO dates). The
+    other side of the join is one row, and prunes the partitions of the older loads.
+    A table without the column has one load only and is returned as it is.
+    """
+    if column not in df.columns:
+        return df
+    newest = df.agg(F.max(column).alias(column))
+    return df.join(F.broadcast(newest), column, "left_semi").drop(column)

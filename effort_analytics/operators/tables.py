@@ -12,6 +12,18 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _has_null(keys) -> Column:
+    out = F.lit(False)
+    for k in keys:
+        out = out | F.col(k).isNull()
+    return out
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row (columns that hold maps left out: they can't be hashed)."""
+    return F.xxhash64(*[F.col(f"`{n}`") for n, t in df.dtypes if "map<" not in t])
+
+
 def dedup_latest(df: DataFrame, keys, order: Sequence[str], *, keep_null_keys: bool = False) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple (descending,
     NULLs lowest), ties broken by the remaining columns so the pick is total.
@@ -21,18 +33,19 @@ def dedup_latest(df: DataFrame, keys, order: Sequence[str], *, keep_null_keys: b
     reduced inside every map task before the shuffle, unlike a window that
     would pull the whole key into one task. Rows with a NULL key form one
     group, like ``GROUP BY``; with ``keep_null_keys`` they are all passed
-    through instead (what an upsert needs: a NULL key never matches).
+    through instead (what an upsert needs: a NULL key never matches), in the
+    same pass: such a row is a group of its own.
     """
     keys = _names(keys)
-    if keep_null_keys:
-        has_null = F.lit(False)
-        for k in keys:
-            has_null = has_null | F.col(k).isNull()
-        return dedup_latest(df.where(~has_null), keys, order).unionByName(df.where(has_null))
     order = list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest]).alias("_best")
-    best = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
+    groups = list(keys)
+    if keep_null_keys:
+        df = df.withColumn("_own", F.when(_has_null(keys), F.monotonically_increasing_id()))
+        groups.append("_own")
+    best = df.groupBy(*groups).agg(F.max(packed).alias("_best"))
+    df = df.drop("_own")
     return best.select(*keys, *[F.col("_best")[c].alias(c) for c in order + rest]).select(*df.columns)
 
 
@@ -49,8 +62,10 @@ def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
 
     Target rows whose key appears in ``source`` are replaced by the source
     row; other source rows are inserted. A NULL key never matches, so a NULL-key
-    target row stays and a NULL-key source row is inserted (each run). The
-    source must hold one row per non-NULL key (see :func:`dedup_latest`).
+    target row stays and a NULL-key source row is inserted (each run); NULL-key
+    target rows are spread over the join's tasks by a hash of the row. The source
+    must hold one row per non-NULL key (see :func:`dedup_latest`;
+    :func:`require_unique_keys` raises where it doesn't).
 
     The result reads ``target``; write it to a *new* location and switch the
     table to it (see ``sinks.replace_table``) -- never overwrite a path the plan
@@ -58,7 +73,10 @@ def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """
     keys = _names(keys)
     src = source.select(*target.columns) if set(target.columns) <= set(source.columns) else source
-    kept = target.join(src.select(*keys), keys, "left_anti").select(*target.columns)
+    spread = F.when(_has_null(keys), row_hash(target)).otherwise(0)
+    # always 0, but computed: a literal would be folded away and spread nothing
+    found = src.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(1)).alias("_spread"))
+    kept = target.withColumn("_spread", spread).join(found, [*keys, "_spread"], "left_anti").select(*target.columns)
     return kept.unionByName(src, allowMissingColumns=True)
 
 
@@ -68,6 +86,15 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > 1)
 
 
+def require_unique_keys(df: DataFrame, keys) -> None:
+    """Raise ``ValueError`` if a non-NULL key is held by more than one row (a job
+    over ``df``; a merge refuses a row matched twice)."""
+    keys = _names(keys)
+    twice = duplicate_keys(df.where(~_has_null(keys)), keys).first()
+    if twice is not None:
+        raise ValueError(f"{twice['count']} source rows for key {[twice[k] for k in keys]}; dedup the source first")
+
+
 def union_by_name_evolve(*dfs: DataFrame) -> DataFrame:
     """UNION ALL by column name; a column missing on one side becomes NULL there
     (schema evolution of an append)."""

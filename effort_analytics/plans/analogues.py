@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .calendar import calendar_rows_bound, generate_calendar
-from ..operators.partitioning import balance_scan
 from ..operators.tables import empty_like
 from .refine import (refine_buckets, refine_leaves, refine_members, refine_planner_codes,
                      refine_productivity_types, unified_tasks, load_tasks)
@@ -56,7 +55,6 @@ SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 # tables that grow with the scale factor (scans spread when under-split)
-FACT_TABLES = {"lineitem", "orders", "events"}
 
 
 class Tables:
@@ -81,8 +79,6 @@ class Tables:
             if name in SCHEMAS:  # declared schema: no footer-reading job per open
                 reader = reader.schema(SCHEMAS[name])
             df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
-            if name in FACT_TABLES:
-                df = balance_scan(df)
             self._cache[name] = df
         return self._cache[name]
 

@@ -37,6 +37,11 @@ def _calendar_part(calendar: DataFrame, min_year: int) -> DataFrame:
             .withColumn("DateYearMonthKey", F.substring(F.col("DateKey").cast("string"), 1, 6)))
 
 
+def _year_start(year: int):
+    # a date bound on the fact itself, which the scan can use; the calendar's year alone prunes nothing
+    return F.lit(dt.date(year, 1, 1))
+
+
 def _member_part(members: DataFrame, key: str) -> DataFrame:
     return members.select(F.col(key).alias("_mkey"), "AssignedTo", F.col("RoleGroup").alias("Role"),
                           "Squad", "ManagerName", "WorkdayID")
@@ -50,7 +55,7 @@ def publish_task_fact(tasks: DataFrame, members: DataFrame, calendar: DataFrame,
     """Completed tasks from ``min_year`` with member, calendar, bucket, planner code
     (left: a wrong code keeps the task, flagged 'No') and productivity class; DISTINCT.
     Star join: inner to members, calendar, buckets and types; left to codes."""
-    s = (tasks.where((F.col("Progress") == completed) & F.col("TC_ProductiveDate").isNotNull())
+    s = (tasks.where((F.col("Progress") == completed) & (F.col("TC_ProductiveDate") >= _year_start(min_year)))
          .select("Title", "TC_ProductiveDate", "TC_PlannerCode", "BucketID", "Hours",
                  "CreatedByOffice365ID"))
     m = _member_part(members, "Office365ID")
@@ -74,14 +79,17 @@ def publish_task_fact(tasks: DataFrame, members: DataFrame, calendar: DataFrame,
     return out.distinct()
 
 
-def task_leave_rows(tasks: DataFrame, leaves: DataFrame, members: DataFrame, buckets: DataFrame, *,
-                    completed: int = C.COMPLETED_PROGRESS,
-                    holiday_prefix: str = C.HOLIDAY_LEAVE_PREFIX,
-                    date_range: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+def task_leave_rows(tasks: DataFrame, leaves: DataFrame, members: DataFrame, buckets: DataFrame,
+                    calendar: DataFrame, *, completed: int = C.COMPLETED_PROGRESS,
+                    holiday_prefix: str = C.HOLIDAY_LEAVE_PREFIX, tasks_unique: bool = False,
+                    date_range: tuple[dt.date, dt.date] | None = None,
+                    calendar_rows_bound: int | None = None) -> DataFrame:
     """Completed task hours UNION ALL leave hours, both with member attributes.
 
-    Task rows: inner join to members by account id, left join to buckets for
-    the category. Leave rows: TaskID '', category and code = leave type,
+    Task rows: repeated rows once (``tasks_unique``: the caller knows that there
+    are none, as after a keyed load, which saves a shuffle of whole rows), inner
+    join to members by account id, left join to buckets for the category. Leave
+    rows: only dates of the calendar, TaskID '', category and code = leave type,
     hours = hours per unit x units, 'Business Unit Holiday...' types left out
     (a NULL type drops out too). ``date_range`` pre-filters both branches on
     the date (used when the caller only reads those dates).
@@ -93,6 +101,10 @@ def task_leave_rows(tasks: DataFrame, leaves: DataFrame, members: DataFrame, buc
         lo, hi = date_range
         t = t.where(F.col("TC_ProductiveDate").between(F.lit(lo), F.lit(hi)))
         lv = lv.where(F.col("TimeOffDate").between(F.lit(lo), F.lit(hi)))
+    if not tasks_unique:
+        t = t.distinct()
+    lv = join_bounded(lv, calendar.select(F.col("DateShort").alias("TimeOffDate")), "TimeOffDate",
+                      small_rows_bound=calendar_rows_bound, how="left_semi")
     b = buckets.select(F.col("BucketID").alias("_bid"), F.col("BucketName"))
     t = t.join(b, F.col("BucketID") == F.col("_bid"), "left")
     t = t.join(_member_part(members, "Office365ID"), F.col("CreatedByOffice365ID") == F.col("_mkey"), "inner")
@@ -123,7 +135,7 @@ def publish_task_leave_fact(rows: DataFrame, calendar: DataFrame, productivity_t
     ``(WorkdayID, YearMonth)``.
     """
     cal = _calendar_part(calendar, min_year).withColumnRenamed("DateShort", "Date")
-    j = join_bounded(rows, cal, "Date", small_rows_bound=calendar_rows_bound)
+    j = join_bounded(rows.where(F.col("Date") >= _year_start(min_year)), cal, "Date", small_rows_bound=calendar_rows_bound)
     p = productivity_types.select(F.col("Category").alias("_pcat"), F.col("Type").alias("_ptype"))
     j = j.join(p, F.col("_pcat") == F.col("Category"), "left")
     j = j.withColumn("YearMonth", year_month("Date"))

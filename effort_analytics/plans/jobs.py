@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
+from ..operators.snapshot import newest_load
 from ..operators.tables import empty_like
 from ..sources import readers, sinks
 from . import calendar as cal_plans
@@ -59,7 +60,10 @@ def _write(df: DataFrame, spec: C.TableSpec, mode: str = "overwrite") -> None:
 
 
 def _read(spark: SparkSession, spec: C.TableSpec) -> DataFrame:
-    return spark.read.parquet(spec.output_path)
+    """A table's current rows: through the catalogue where it is registered (a folder may hold
+    several versions), else the folder."""
+    current = _current(spark, spec)
+    return spark.read.parquet(spec.output_path) if current is None else current
 
 
 def _current(spark: SparkSession, spec: C.TableSpec) -> DataFrame | None:
@@ -92,26 +96,27 @@ def refine_members_job(spark: SparkSession, spec: C.TableSpec, roles_src: str, *
 
 def refine_leaves_job(spark: SparkSession, spec: C.TableSpec, *, load_id: str,
                       at: dt.datetime | None = None) -> None:
-    """Leave entries of the newest snapshot, appended idempotently per ``load_id``."""
+    """Leave entries of the newest snapshot, kept per ``load_id``. A snapshot is whole and
+    supersedes the earlier ones; readers take the newest (``operators.newest_load``)."""
     src = latest_snapshot_path(spark, spec.src_paths[0])
     raw = readers.read_workbooks(spark, src, C.SHEET_LEAVES, LEAVE_COLUMNS)
     sinks.append_load(refine.refine_leaves(raw, at=at), spec.output_path, load_id)
 
 
 def refine_tasks_job(spark: SparkSession, spec: C.TableSpec, members_spec: C.TableSpec, *,
-                     at: dt.datetime | None = None) -> str:
+                     at: dt.datetime | None = None, buckets: int = 256) -> None:
     """Newest planner JSON snapshot + newest issue workbook snapshot, normalised,
-    unioned and upserted by task id into the task table: the result goes to a new
-    version folder and the catalogue entry (``spec.database`` required) is
-    switched to it."""
+    unioned, reduced to one row per task id and upserted into the task table, which
+    is stored by key bucket: only touched buckets are read and written."""
     planner_src = latest_snapshot_path(spark, spec.src_paths[0])
     issue_src = latest_snapshot_path(spark, spec.src_paths[1])
     planner = readers.read_json(spark, planner_src, PLANNER_JSON_SCHEMA)
     issues = readers.read_workbooks(spark, issue_src, C.SHEET_ISSUES, ISSUE_COLUMNS)
     incoming = refine.unified_tasks(planner, issues, _read(spark, members_spec), at=at)
-    current = _current(spark, spec)
-    current = empty_like(incoming) if current is None else current
-    return sinks.replace_table(refine.load_tasks(current, incoming), spec.output_path, spec.qualified_name)
+    sinks.upsert_partitions(refine.load_tasks(empty_like(incoming), incoming), spec.output_path, ["TaskID"],
+                            buckets=buckets)
+    if spec.database:
+        sinks.register_table(spark, spec.database, spec.table, spec.output_path)
 
 
 def refine_date_job(spark: SparkSession, spec: C.TableSpec, *, as_of: dt.date,
@@ -139,9 +144,11 @@ def publish_task_and_leaves_job(spark: SparkSession, out: C.TableSpec, *, tasks:
                                 members: DataFrame, calendar: DataFrame, buckets: DataFrame,
                                 productivity_types: DataFrame, as_of: dt.date,
                                 min_year: int = C.MIN_REPORT_YEAR, load_id: str | None = None) -> None:
-    """The task-and-leave fact; with ``load_id`` appended idempotently (the
-    notebook appends on every run, which doubles hours on a rerun)."""
-    rows = facts.task_leave_rows(tasks, leaves, members, buckets)
+    """The task-and-leave fact, overwritten; with ``load_id`` each load is kept, and
+    readers take the newest (appending without that doubles hours on a rerun).
+    Of ``leaves`` the newest load is read."""
+    leaves = newest_load(leaves)
+    rows = facts.task_leave_rows(tasks, leaves, members, buckets, calendar)
     expected = targets.expected_hours(members, calendar, as_of, min_year)
     planned = targets.planned_leave_deduction(leaves, calendar)
     fact = facts.publish_task_leave_fact(rows, calendar, productivity_types, expected, planned, min_year=min_year)
@@ -153,7 +160,7 @@ def publish_task_and_leaves_job(spark: SparkSession, out: C.TableSpec, *, tasks:
 
 def publish_target_hours_job(spark: SparkSession, out: C.TableSpec, *, task_and_leaves: DataFrame,
                              run_year: int) -> None:
-    _write(targets.flag_under_target(task_and_leaves, run_year), out)
+    _write(targets.flag_under_target(newest_load(task_and_leaves), run_year), out)
 
 
 def full_names_export_job(spark: SparkSession, csv_folder: str, target_file: str) -> str:

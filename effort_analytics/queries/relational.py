@@ -110,7 +110,8 @@ def join_bracketed_code(spark, sf_dir):
 
 def _rows(spark, sf_dir):
     t = A.Tables(spark, sf_dir)
-    return facts.task_leave_rows(A.tasks(t), A.leaves(t), A.members(t), A.buckets(t))
+    return facts.task_leave_rows(A.tasks(t), A.leaves(t), A.members(t), A.buckets(t), A.calendar(spark),
+                                 tasks_unique=True, calendar_rows_bound=A.CAL_ROWS)
 
 
 @query("join_member_month",
@@ -239,7 +240,7 @@ def set_union_by_name_evolve(spark, sf_dir):
 
 @query("proj_rename_drop", "BucketName:string, BucketID:string, IsActive:bigint, UploadBy:string",
        "SELECT BucketName, BucketID, IsActive, 'svc_load' AS UploadBy FROM buckets",
-       covers="P2 P3 P4 C18 K9")
+       covers="P2 P3 P4 C18")
 def proj_rename_drop(spark, sf_dir):
     return A.buckets(A.Tables(spark, sf_dir))
 
@@ -281,7 +282,7 @@ WITH tgt AS ({_LINE_DEDUP.format(src="SELECT * FROM lineitem WHERE l_returnflag
      src AS ({_LINE_DEDUP.format(src="SELECT * FROM lineitem WHERE l_returnflag = 'R'")})
 SELECT * FROM tgt WHERE NOT EXISTS
   (SELECT 1 FROM src WHERE src.l_orderkey = tgt.l_orderkey AND src.l_linenumber = tgt.l_linenumber)
-UNION ALL SELECT * FROM src""", covers="K7 K10")
+UNION ALL SELECT * FROM src""", covers="K7")
 def upsert_by_key(spark, sf_dir):
     li = _lineitem(spark, sf_dir)
     target = dedup_latest(li.where(F.col("l_returnflag") != "R"), _LINE_KEYS, _LINE_ORDER)

@@ -32,6 +32,12 @@ def seconds_sql(x: str) -> str:
             f"ELSE CAST(0 AS DECIMAL(10,2)) END")
 
 
+def whole_sql(x: str) -> str:
+    # a number's whole part: the value rounded towards zero
+    return (f"CASE WHEN regexp_full_match({x}, {PLAIN}) "
+            f"THEN TRY_CAST(trunc(TRY_CAST(trim({x}) AS DECIMAL(38,6))) AS BIGINT) END")
+
+
 def bracket_sql(x: str) -> str:
     return (f"CASE WHEN strpos({x}, ']') > 0 THEN replace(left({x}, strpos({x}, ']') - 1), '[', '') "
             f"ELSE replace({x}, ']', '') END")
@@ -88,7 +94,7 @@ JOIN part ON l_partkey = p_partkey"""
 
 CTE["planner_tasks"] = f"""
 SELECT Title, {bracket_sql('Title')} AS TC_PlannerCode, TaskID, BucketID,
-       TRY_CAST(Progress AS BIGINT) AS Progress,
+       {whole_sql('Progress')} AS Progress,
        CASE WHEN Progress = '0' THEN 'Not Started' WHEN Progress = '50' THEN 'In Progress'
             WHEN Progress = '100' THEN 'COMPLETED' ELSE 'NOT RECOGNIZED PLEASE CONTACT ADMIN' END
          AS TC_ProgressDescription,
@@ -129,11 +135,11 @@ WHERE NOT starts_with(i.Projectname, 'Generated')"""
 
 CTE["issue_tasks"] = f"""
 SELECT Title, TC_PlannerCode, TaskID, BucketID,
-       CASE WHEN TRY_CAST(Progress AS INTEGER) IS NOT NULL THEN TRY_CAST(Progress AS BIGINT) * 100
+       CASE WHEN {whole_sql('Progress')} IS NOT NULL THEN {whole_sql('Progress')} * 100
             WHEN ProgressDescription = 'Done' THEN 100 ELSE 0 END AS Progress,
-       CASE WHEN (TRY_CAST(Progress AS INTEGER) = 0 OR ProgressDescription = 'To Do') THEN 'Not Started'
+       CASE WHEN ({whole_sql('Progress')} = 0 OR ProgressDescription = 'To Do') THEN 'Not Started'
             WHEN ProgressDescription IN ('In Progress', 'In Review') THEN 'In Progress'
-            WHEN (TRY_CAST(Progress AS INTEGER) = 1 OR ProgressDescription = 'Done') THEN 'COMPLETED'
+            WHEN ({whole_sql('Progress')} = 1 OR ProgressDescription = 'Done') THEN 'COMPLETED'
             ELSE 'NOT RECOGNIZED PLEASE CONTACT ADMIN' END AS TC_ProgressDescription,
        CreatedByOffice365ID,
        TRY_CAST(CreatedDate AS DATE) AS CreatedDate,

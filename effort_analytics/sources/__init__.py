@@ -1,8 +1,8 @@
 """Sources (readers) and sinks (writers, catalogue maintenance)."""
 
 from .readers import (parse_json_column, read_csv, read_csv_tagged, read_json, read_table,
-                      read_workbooks, snapshot_levels_from_path, string_schema, with_source_path)
-from .sinks import (append_load, create_table, export_single_csv, insert_into, read_evolving,
+                      read_workbooks, string_schema)
+from .sinks import (append_load, create_table, export_single_csv, insert_into, read_evolving, read_key_buckets,
                     register_table, replace_table, upsert_partitions, with_key_bucket,
                     write_table)
 

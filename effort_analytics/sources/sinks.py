@@ -7,6 +7,7 @@ written, then the table is pointed at it.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,14 +32,8 @@ def append_load(df: DataFrame, path: str, load_id: str, *, fmt: str = "parquet",
     same load replaces only its own partition (dynamic partition overwrite), so a
     rerun never doubles the hours."""
     from pyspark.sql import functions as F
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn(column, F.lit(load_id)).write.mode("overwrite").format(fmt)
-         .partitionBy(column).save(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.withColumn(column, F.lit(load_id)).write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(column).save(path))
 
 
 def read_evolving(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -50,8 +45,24 @@ def register_table(spark: SparkSession, database: str, table: str, path: str, fm
     """Create the database if needed, register an external table over ``path``,
     and refresh its cached metadata."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` USING {fmt} LOCATION '{path}'")
-    spark.sql(f"REFRESH TABLE `{database}`.`{table}`")
+    name = f"`{database}`.`{table}`"
+    _recreate_if_changed(spark, name, spark.read.option("mergeSchema", True).format(fmt).load(path), path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} OPTIONS (mergeSchema 'true') LOCATION '{path}'")
+    if spark.sql(f"DESCRIBE TABLE {name}").where("col_name = '# Partition Information'").count():
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.sql(f"REFRESH TABLE {name}")
+
+
+def _recreate_if_changed(spark: SparkSession, name: str, stored: DataFrame, path: str) -> None:
+    """Drop the entry of an external table whose columns or place are no longer those of the data
+    (columns added by a write); the data stays, and the caller creates the entry again."""
+    if not spark.catalog.tableExists(name):
+        return
+    kind = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if kind.get("Type") != "EXTERNAL":
+        raise ValueError(f"{name} is not an external table; it is left alone")
+    if dict(spark.table(name).dtypes) != dict(stored.dtypes):
+        spark.sql(f"DROP TABLE {name}")
 
 
 def create_table(spark: SparkSession, name: str, ddl_columns: str, path: str, fmt: str = "parquet") -> None:
@@ -78,6 +89,7 @@ def replace_table(df: DataFrame, base_path: str, table: str | None = None, *, fm
     if table:
         if "." in table:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{table.split('.')[0]}`")
+        _recreate_if_changed(spark, table, spark.read.format(fmt).load(version), version)
         if spark.catalog.tableExists(table):
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
             spark.sql(f"REFRESH TABLE {table}")
@@ -116,51 +128,90 @@ def export_single_csv(df: DataFrame, file_path: str, *, header: bool = True) ->
 
 
 def with_key_bucket(df: DataFrame, keys, buckets: int, column: str = "key_bucket") -> DataFrame:
-    """Add the storage bucket of each row's key: ``pmod(xxhash64(keys), buckets)``."""
+    """Add the storage bucket of each row's key: ``pmod(xxhash64(keys), buckets)``. A row with a
+    NULL key, which matches no other, goes by a hash of the whole row, so that such rows share no bucket."""
     from pyspark.sql import functions as F
+    from ..operators.tables import _has_null, row_hash
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.withColumn(column, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+    by_key = F.xxhash64(*[F.col(k) for k in keys])
+    by = F.when(_has_null(keys), row_hash(df)).otherwise(by_key)
+    return df.withColumn(column, F.pmod(by, F.lit(buckets)).cast("int"))
+
+
+LAYOUT_FILE = "_key_layout.json"  # the leading underscore hides it from readers of the folder
 
 
-def upsert_partitions(source: DataFrame, path: str, keys, *, buckets: int = 256,
-                      column: str = "key_bucket", fmt: str = "parquet") -> None:
-    """Keyed upsert into a table stored partitioned by key bucket, rewriting only
-    the buckets the source touches.
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    1. the source rows get their bucket; the set of touched buckets is small
-       (at most ``buckets`` values);
-    2. only those target partitions are read (a semi join on the partition
-       column, pruned at planning/run time), merged with the source
-       (:func:`operators.upsert`);
-    3. the merge is checkpointed to ``spark.checkpoint.dir`` (reliable, cuts
-       the lineage to the partitions it replaces), then written back with
-       dynamic partition overwrite -- untouched buckets are not rewritten.
 
-    The first load (no table at ``path`` yet) writes every bucket. The source
-    must hold one row per non-NULL key (see ``operators.dedup_latest``).
+def _check_layout(spark: SparkSession, path: str, layout: dict) -> bool:
+    """True if a table of this layout is at ``path``; False (and the layout is written) if there is
+    none. Another layout, or data without one, raises: rows would be looked for in wrong buckets."""
+    fs, file = _hadoop(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
+    _, root = _hadoop(spark, path)
+    loaded = fs.exists(root) and any(s.isDirectory() and "=" in s.getPath().getName() for s in fs.listStatus(root))
+    if not fs.exists(file):
+        if loaded:
+            raise ValueError(f"{path} holds data but no {LAYOUT_FILE}; its bucket count is unknown")
+        out = fs.create(file, True)
+        out.write(bytearray(json.dumps(layout), "utf-8"))
+        out.close()
+        return False
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(file)))
+    stored = json.loads(reader.readLine())
+    reader.close()
+    if stored != layout:
+        raise ValueError(f"{path} is stored with {stored}, not {layout}")
+    return loaded
+
+
+def read_key_buckets(spark: SparkSession, path: str, touched: list[int], *, column: str = "key_bucket",
+                     fmt: str = "parquet") -> DataFrame:
+    """The rows of the named buckets: a filter on the partition column by values, so that other
+    buckets are not listed into tasks."""
+    from pyspark.sql import functions as F
+    return spark.read.option("mergeSchema", True).format(fmt).load(path).where(F.col(column).isin(touched))
+
+
+def upsert_partitions(source: DataFrame, path: str, keys, *, buckets: int = 256, column: str = "key_bucket",
+                      fmt: str = "parquet", files_per_bucket: int = 1) -> None:
+    """Keyed upsert into a table stored partitioned by key bucket, reading and
+    rewriting only the buckets the source touches.
+
+    1. the layout (keys, bucket count) is stored with the table; another one raises;
+    2. the source rows get their bucket and are checkpointed, since they are read
+       several times; a non-NULL key held twice raises, as a merge would;
+    3. the touched buckets, ``buckets`` numbers at most, become a filter on the
+       partition column (:func:`read_key_buckets`); their rows are merged with the
+       source (:func:`operators.upsert`);
+    4. the merge is checkpointed to ``spark.checkpoint.dir`` (reliable, cuts the
+       lineage to the partitions it replaces), dealt out by bucket and one of
+       ``files_per_bucket`` parts, then written with dynamic partition overwrite.
+
+    The first load (no table at ``path`` yet) writes every bucket. An empty source
+    changes nothing. ``spark.checkpoint.dir`` must be set.
     """
     from pyspark.sql import functions as F
-    from ..operators.tables import upsert
+    from ..operators.tables import require_unique_keys, row_hash, upsert
     from ..session import shared_dir
     spark = source.sparkSession
+    shared_dir(spark)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    src = with_key_bucket(source, keys, buckets, column)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    exists = p.getFileSystem(conf).exists(p)
+    exists = _check_layout(spark, path, {"keys": keys, "buckets": buckets, "column": column})
+    src = with_key_bucket(source, keys, buckets, column).checkpoint(eager=True)
+    require_unique_keys(src, keys)
+    merged = src
     if exists:
-        target = spark.read.format(fmt).load(path)
-        touched = src.select(column).distinct()
-        current = target.join(touched, column, "left_semi")
-        merged = upsert(current.select(*src.columns), src, keys)
-    else:
-        merged = src
-    shared_dir(spark, allow_local=spark.sparkContext.master.startswith("local"))
-    merged = merged.checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        merged.write.mode("overwrite").format(fmt).partitionBy(column).save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        touched = sorted(r[0] for r in src.select(column).distinct().collect())  # at most ``buckets`` numbers
+        if not touched:
+            return
+        stored = read_key_buckets(spark, path, touched, column=column, fmt=fmt)
+        added = {n: F.lit(None).cast(t) for n, t in src.dtypes if n not in stored.columns}
+        merged = upsert(stored.withColumns(added), src, keys).checkpoint(eager=True)
+    part = F.pmod(row_hash(merged), F.lit(files_per_bucket)).alias("_part")
+    out = merged.select("*", part).repartition(F.col(column), F.col("_part")).drop("_part")
+    (out.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).save(path))

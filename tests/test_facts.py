@@ -33,7 +33,7 @@ def _inputs(spark):
 
 def test_task_leave_fact_collapses_identical_leave_rows(spark):
     members, tasks, leaves, buckets, types, _, cal = _inputs(spark)
-    rows = Fx.task_leave_rows(tasks, leaves, members, buckets)
+    rows = Fx.task_leave_rows(tasks, leaves, members, buckets, cal)
     empty = spark.createDataFrame([], "WorkdayID bigint, YearMonth bigint, TargetHours decimal(20,1)")
     none = spark.createDataFrame([], "WorkdayID bigint, YearMonth bigint, TotalHoursToDeduct decimal(31,4)")
     fact = Fx.publish_task_leave_fact(rows, cal, types, empty, none, min_year=2021)
@@ -46,6 +46,15 @@ def test_task_leave_fact_collapses_identical_leave_rows(spark):
     assert all(r.TotalHoursToDeduct == 0 and r.FinalTargetHours is None for r in fact.collect())
 
 
+def test_rows_leave_out_repeated_tasks_and_leaves_off_the_calendar(spark):
+    members, tasks, leaves, buckets, _, _, cal = _inputs(spark)
+    off = leaves.limit(1).withColumn("TimeOffDate", F.lit(dt.date(2050, 1, 3)))
+    rows = Fx.task_leave_rows(tasks.union(tasks), leaves.union(off), members, buckets, cal)
+    got = sorted((r.TaskID, r.Date) for r in rows.collect())
+    day = dt.date(2021, 3, 4)  # two equal leave entries stay two rows here
+    assert got == [("", day), ("", day), ("T1", dt.date(2021, 3, 1)), ("T2", dt.date(2021, 3, 2))]
+
+
 def test_task_fact_flags_unknown_codes(spark):
     members, tasks, _, buckets, types, codes, cal = _inputs(spark)
     fact = Fx.publish_task_fact(tasks, members, cal, buckets, codes, types, min_year=2021)

@@ -108,3 +108,12 @@ def test_date_helpers(spark):
     assert _eval(spark, days, X.quarter_name, "date") == ["Q1-2024"] * 3
     assert _eval(spark, days, X.day_name, "date") == ["Saturday", "Sunday", "Monday"]
     assert _eval(spark, days, X.year_month_text, "date") == ["202401"] * 3
+
+
+def test_whole_number_cuts_fractions_off(spark):
+    cases = [("50", 50), ("50.0", 50), ("1.5", 1), ("-1.9", -1), (".5", 0), (" 3 ", 3), ("5.", 5), ("", None),
+             ("abc", None), ("1e2", None), ("1.2.3", None), ("99999999999999999999", None), (None, None)]
+    df = spark.createDataFrame(cases, "t string, want bigint")
+    assert all(r.got == r.want for r in df.withColumn("got", X.whole_number("t")).collect())
+    out = df.where("t = '1.5'").select(X.issue_progress("t", F.lit("To Do")).alias("n"), X.issue_status("t", F.lit("x")).alias("s"))
+    assert tuple(out.first()) == (100, "COMPLETED")

@@ -5,6 +5,7 @@ import json
 import os
 
 from effort_analytics.config import TableSpec
+from effort_analytics.operators import newest_load
 from effort_analytics.plans import jobs
 from effort_analytics.sources.xlsx import write_workbook
 
@@ -71,6 +72,7 @@ def test_raw_to_published(spark, tmpdir_path):
     leaves_spec = TableSpec("leaves", (f"{root}/raw/leaves",), f"{root}/refined/leaves")
     jobs.refine_leaves_job(spark, leaves_spec, load_id="2024-10-15", at=AT)
     jobs.refine_leaves_job(spark, leaves_spec, load_id="2024-10-15", at=AT)   # rerun: no doubling
+    jobs.refine_leaves_job(spark, leaves_spec, load_id="2024-10-16", at=AT)   # the next day's load supersedes it
     tasks_spec = spec("tasks", [f"{root}/raw/planner", f"{root}/raw/issues"])
     jobs.refine_tasks_job(spark, tasks_spec, spec("members"), at=AT)
     jobs.refine_tasks_job(spark, tasks_spec, spec("members"), at=AT)          # rerun: upsert is idempotent
@@ -82,15 +84,16 @@ def test_raw_to_published(spark, tmpdir_path):
     assert got == [("I-1", "CXMRA BAU", 2.0, 100), ("P1", "DEV", 6.0, 100), ("P2", "LEADS", 40.0, 100),
                    ("P3", "X", 2.0, 50)]
     leaves = spark.read.parquet(leaves_spec.output_path)
-    assert sorted((r.EmployeeID, r.Worker) for r in leaves.collect()) == [(101, "Ann Lee "), (101, "Ann Lee ")]
+    assert sorted((r.EmployeeID, r.Worker) for r in newest_load(leaves).collect()) == [(101, "Ann Lee "), (101, "Ann Lee ")]
 
     read = lambda name: spark.table(f"{db}.{name}")
     calendar = spark.table(f"{db}.dim_date")
     fact_spec = TableSpec("vw_task_and_leaves", (), f"{root}/published/vw_task_and_leaves")
-    jobs.publish_task_and_leaves_job(
-        spark, fact_spec, tasks=tasks, leaves=leaves, members=read("members"), calendar=calendar,
-        buckets=read("buckets"), productivity_types=read("productivity_types"), as_of=AS_OF, min_year=2024,
-        load_id="2024-10-15")
+    for day in ("2024-10-15", "2024-10-16"):  # a second day's run changes no report
+        jobs.publish_task_and_leaves_job(
+            spark, fact_spec, tasks=tasks, leaves=leaves, members=read("members"), calendar=calendar,
+            buckets=read("buckets"), productivity_types=read("productivity_types"), as_of=AS_OF, min_year=2024,
+            load_id=day)
     fact = spark.read.parquet(fact_spec.output_path)
     task_spec = TableSpec("vw_task", (), f"{root}/published/vw_task")
     jobs.publish_task_job(spark, task_spec, tasks=tasks, members=read("members"), calendar=calendar,

@@ -92,6 +92,78 @@ def test_table_specs_from_config(tmpdir_path):
     assert specs["buckets"].enabled is False and specs["buckets"].src_paths == ("c/",)
 
 
+def test_upsert_partitions_refuses_another_layout_and_repeated_keys(spark, tmpdir_path):
+    import pytest
+    from effort_analytics.sources import upsert_partitions
+    path = os.path.join(tmpdir_path, "tasks")
+    rows = spark.range(200).select(F.col("id").cast("string").alias("TaskID"), F.col("id").alias("Hours"))
+    upsert_partitions(rows, path, ["TaskID"], buckets=64)
+    one = spark.createDataFrame([("5", 500)], "TaskID string, Hours bigint")
+    with pytest.raises(ValueError, match="is stored with"):
+        upsert_partitions(one, path, ["TaskID"], buckets=16)
+    with pytest.raises(ValueError, match="2 source rows for key"):
+        upsert_partitions(one.union(one), path, ["TaskID"], buckets=64)
+    upsert_partitions(one.limit(0), path, ["TaskID"], buckets=64)
+    assert spark.read.parquet(path).count() == 200
+    with pytest.raises(ValueError, match="its bucket count is unknown"):
+        other = os.path.join(tmpdir_path, "other")
+        rows.withColumn("key_bucket", F.lit(1)).write.partitionBy("key_bucket").parquet(other)
+        upsert_partitions(one, other, ["TaskID"])
+
+
+def test_upsert_partitions_reads_only_touched_buckets(spark, tmpdir_path):
+    from effort_analytics.sources import read_key_buckets, upsert_partitions
+    path = os.path.join(tmpdir_path, "tasks")
+    rows = spark.range(300).select(F.col("id").cast("string").alias("TaskID"), F.col("id").alias("Hours"))
+    upsert_partitions(rows, path, ["TaskID"], buckets=16)
+    some = read_key_buckets(spark, path, [3, 5])
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket#" in plan and "IN (3,5)" in plan
+    assert len(some.inputFiles()) == 16 and 0 < some.count() < 300  # listed, then pruned
+
+
+def test_upsert_partitions_spreads_null_keys_and_adds_columns(spark, tmpdir_path):
+    from effort_analytics.sources import upsert_partitions
+    path = os.path.join(tmpdir_path, "tasks")
+    rows = spark.range(100).select(F.when(F.col("id") < 50, F.col("id").cast("string")).alias("TaskID"),
+                                   F.col("id").alias("Hours"))
+    upsert_partitions(rows, path, ["TaskID"], buckets=8)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 100
+    assert stored.where("TaskID IS NULL").select("key_bucket").distinct().count() > 4
+    new = spark.createDataFrame([("7", 700, "x"), (None, 1, "y")], "TaskID string, Hours bigint, Note string")
+    upsert_partitions(new, path, ["TaskID"], buckets=8)
+    after = spark.read.option("mergeSchema", True).parquet(path)
+    assert after.count() == 101 and after.where("TaskID IS NULL").count() == 51
+    assert [tuple(r) for r in after.where("TaskID = '7'").select("Hours", "Note").collect()] == [(700, "x")]
+
+
+def test_registered_table_shows_added_columns(spark, tmpdir_path):
+    db, path = "ea_test_db", os.path.join(tmpdir_path, "m")
+    spark.range(2).write.parquet(path)
+    register_table(spark, db, "m", path)
+    spark.range(3).withColumn("more", F.lit("x")).write.mode("overwrite").parquet(path)
+    register_table(spark, db, "m", path)
+    assert spark.table(f"{db}.m").columns == ["id", "more"] and spark.table(f"{db}.m").count() == 3
+    base = os.path.join(tmpdir_path, "v")
+    replace_table(spark.range(3), base, f"{db}.v")
+    replace_table(spark.range(3).withColumn("more", F.lit(1)), base, f"{db}.v")
+    assert spark.table(f"{db}.v").columns == ["id", "more"] and spark.table(f"{db}.v").count() == 3
+    spark.sql(f"DROP TABLE {db}.m")
+    spark.sql(f"DROP TABLE {db}.v")
+
+
+def test_newest_load_supersedes_earlier_ones(spark, tmpdir_path):
+    from effort_analytics.operators import newest_load
+    path = os.path.join(tmpdir_path, "leaves")
+    row = spark.createDataFrame([(1, 7.5)], "EmployeeID bigint, Hours double")
+    append_load(row, path, "2024-10-14")
+    append_load(row, path, "2024-10-15")
+    got = newest_load(spark.read.parquet(path))
+    assert got.agg(F.sum("Hours")).first()[0] == 7.5 and got.columns == ["EmployeeID", "Hours"]
+    assert newest_load(row) is row
+
+
 def test_upsert_partitions_rewrites_only_touched_buckets(spark, tmpdir_path):
     from effort_analytics.operators import upsert
     from effort_analytics.sources import upsert_partitions
