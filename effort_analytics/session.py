@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every session of this library wants. AQE re-plans joins from
@@ -45,21 +43,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-def shared_dir(spark: SparkSession, *, allow_local: bool = False) -> str:
-    """Folder shared by all executors for checkpoints and staged tables.
-
-    Read from ``spark.checkpoint.dir``. Only when it is unset *and* the caller
-    allows it (tests, local runs) is a fresh local folder created and set.
-    """
+def shared_dir(spark: SparkSession) -> str:
+    """Folder shared by all executors for checkpoints and staged tables, as
+    ``spark.checkpoint.dir`` or the context names it; raises where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = jdir.get() if jdir.isDefined() else None
     if path:
         return path
-    if not allow_local:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
-    path = tempfile.mkdtemp(prefix="ea-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")

@@ -12,9 +12,11 @@ SF001 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from effort_analytics.session import get_spark, shared_dir
+    from effort_analytics.session import get_spark
     s = get_spark("local[4]", 4)
-    shared_dir(s, allow_local=True)  # tests only: a local checkpoint folder when none is set
+    path = tempfile.mkdtemp(prefix="ea-ckpt-")  # tests only: a local checkpoint folder
+    s.conf.set("spark.checkpoint.dir", path)
+    s.sparkContext.setCheckpointDir(path)
     yield s
     s.stop()
 
