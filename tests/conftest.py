@@ -14,9 +14,8 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from effort_analytics.session import get_spark
     s = get_spark("local[4]", 4)
-    path = tempfile.mkdtemp(prefix="ea-ckpt-")  # tests only: a local checkpoint folder
-    s.conf.set("spark.checkpoint.dir", path)
-    s.sparkContext.setCheckpointDir(path)
+    if not s.conf.get("spark.checkpoint.dir", None):  # tests only: a local folder where none is set
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ea-ckpt-"))
     yield s
     s.stop()
 
