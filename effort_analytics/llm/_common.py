@@ -28,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
         path = found.get() if found.isDefined() else None
     if not path:
         path = tempfile.mkdtemp(prefix="llm-stage-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(path)  # the setting itself can't be changed in a running session
     return path
 
 
