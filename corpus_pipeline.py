@@ -29,13 +29,15 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id. Rows without an
-    id are kept if they are like no document with one; repeated rows stay or go together."""
-    groups = minhash_dedup.near_duplicates(docs, k=5, percent=80, row_keys=True)
-    gone = staged(groups.where("NOT kept").select("d", "h").distinct(), "gone")
+    """Exactly one row of each group of near duplicates: of those with the smallest id (NULL last)
+    and the first set and text by hash, the smallest by its other columns. NULL and blank texts are
+    like no other; of wholly repeated ones, and of those without an id, one row of each text stays."""
+    groups = minhash_dedup.near_duplicates(docs, k=5, percent=80, row_keys=True).where("kept")
+    one = groups.groupBy(F.coalesce("g", F.xxhash64("d", "h"))).agg(F.min(F.struct("d", "h")).alias("x"))
+    one = staged(one.select("x.d", "x.h"), "kept")
     d, h = doc_key(F.col("doc_id"), F.coalesce("text", F.lit("")))
-    rows = _documents(docs).select("*", d, h)
-    return _documents(rows.join(gone, ["d", "h"], "left_anti"))
+    rows = _documents(docs).groupBy(d, h).agg(F.min(F.struct(*COLUMNS)).alias("row"))  # one of each repeated row
+    return _documents(rows.join(one, ["d", "h"], "left_semi").select("row.*"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

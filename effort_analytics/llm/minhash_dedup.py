@@ -3,7 +3,8 @@
 * A document's set is that of its ``k``-word shingles, hashed to 64 bits. One permutation splits
   the hash range in ``bands * rows`` bins, each bin's smallest hash is its value, and an empty bin
   takes that of a bin it probes in a fixed pseudo-random order (optimal densification).
-* Documents with equal sets are one node. Each node goes to ``bands`` buckets.
+* A node is a distinct set, named by a 64-bit hash: rows with equal sets are one node, rows that
+  share an id (or have none) are not. Each node goes to ``bands`` buckets.
 * A bucket proposes the edges of a star: its smallest node against all others. Links are confirmed
   on the full sets.
 * A star can't see links between two nodes of which neither is like its centre. Buckets whose
@@ -11,7 +12,8 @@
   gathered in clusters (nodes that such buckets join; beyond ``cluster`` nodes, single buckets) and
   dealt to pairs of blocks of ``BLOCK`` nodes at most, in which the sizes of all intersections come from a
   product of incidence matrices. A pair of blocks emits a spanning forest of its links, never pairs.
-* Components come from star contraction on the confirmed links.
+* Components come from star contraction on the confirmed links, and are then mapped to their first
+  node by (smallest doc_id, hash).
 """
 
 from __future__ import annotations
@@ -117,7 +119,7 @@ def _confirm(k: int, percent: int):
                 for r in range(i, j):
                     u, salt, centre, v = who[r]
                     own = values[off[r - i]:off[r - i + 1]]
-                    if centre:  # several only where rows share the id
+                    if centre:
                         held = [*held, own] if of == (u, salt) and fresh else [own]
                         of, fresh = (u, salt), True
                         continue
@@ -234,21 +236,27 @@ def _exact(left: DataFrame, texts: DataFrame, k: int, percent: int, cluster: int
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: int = 32, rows: int = 5, cluster: int = 4096,
                     id_col: str = "doc_id", text_col: str = "text", row_keys: bool = False) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest id that confirmed links
-    reach, its own included), kept (whether that is its own).
+    reach, its own included), kept (whether that is its own, and of several sets with that id in the
+    component its set is the first by hash).
 
     Links: ``100 * intersection >= percent * union`` of the shingle sets. NULL, empty and blank
-    texts have an empty set and no links. Rows that share an id are one node. A NULL id sorts
-    last: alone, its component is NULL and it is kept. Other columns are left out; ``row_keys`` adds the
-    internal identity (d, h) of each row.
+    texts have an empty set and no links. Rows are told apart by their sets, not their ids, so rows
+    that share an id are linked only if they are alike. A NULL id sorts last: the component of rows
+    that all have none is NULL, and its first set is kept. Rows with the same id and set are kept or
+    not together. Other columns are left out; ``row_keys`` adds the internal identity (d, h) of each
+    row and ``g``, that of its component (NULL for an empty set).
     """
     docs = keyed(docs, id_col, text_col)
     signed = staged(docs.mapInArrow(_sign(k, bands, rows), "d long, h long, doc_id long, n long, x long, y long, keys array<long>"), "signed")
-    sets = staged(signed.where("n > 0").groupBy("x", "y", "n").agg(F.min("d").alias("rep")), "sets")
-    nodes = signed.join(sets.withColumnRenamed("rep", "d"), ["x", "y", "n", "d"], "left_semi")
+    sets = staged(signed.where("n > 0").groupBy("x", "y", "n").agg(F.min(F.struct("d", "h")).alias("rep"))
+                  .select("x", "y", "n", "rep.d", "rep.h", F.xxhash64("x", "y", "n").alias("node")), "sets")
+    nodes = signed.join(sets, ["x", "y", "n", "d", "h"]).select(F.col("node").alias("d"), "n", "keys")
     left = nodes.select("d", "n", F.explode("keys").alias("key")).distinct()
     centre = left.groupBy("key").agg(F.min("d").alias("u"), F.max("d").alias("w")).where("u <> w").select("key", "u")
     left = staged(left.join(centre, "key"), "buckets")
-    texts = docs.join(sets.select(F.col("rep").alias("d")).distinct(), "d", "left_semi").select("d", "text")
+    # One text a node, however many rows repeat it.
+    reps = staged(sets.join(left.select(F.col("d").alias("node")).distinct(), "node", "left_semi").select("d", "h", "node"), "reps")
+    texts = staged(docs.join(reps, ["d", "h"]).groupBy(F.col("node").alias("d")).agg(F.min("text").alias("text")), "texts")
     like = F.lit(percent) * F.greatest("n", "m") <= 100 * F.least("n", "m")
     sizes = left.where("d = u").select("key", "u", F.col("n").alias("m")).distinct()
     pairs = left.where("d <> u").join(sizes, ["key", "u"]).where(like).select("u", F.col("d").alias("v")).distinct()
@@ -260,11 +268,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     if not left.isEmpty():
         links = staged(links.unionByName(_exact(left, texts, k, percent, cluster)), "links")
         label = components(links)
-    out = signed.join(sets, ["x", "y", "n"], "left").select(
-        "doc_id", "n", F.col("d").alias("row_d"), F.col("h").alias("row_h"), F.coalesce("rep", "d").alias("d")).join(label, "d", "left")
-    c = F.coalesce("c", "d")
+    # Tables to join with are written first, so that Spark can split a hot component.
+    own = staged(sets.select("x", "y", "n", F.col("d").alias("least"), F.col("node").alias("d")).join(label, "d", "left")
+                 .withColumn("c", F.coalesce("c", "d")), "nodes")
+    first = staged(own.groupBy("c").agg(F.min(F.struct("least", "d")).alias("r")).select("c", F.col("r.least").alias("first_id"), F.col("r.d").alias("g")), "first")
+    own = staged(own.join(first, "c").select("x", "y", "n", "first_id", "g", (F.col("d") == F.col("g")).alias("leads")), "components")
+    out = signed.join(own, ["x", "y", "n"], "left")
+    c = F.coalesce("first_id", "d")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(c != NO_ID, c).alias("component_id"),
-                      (F.coalesce("doc_id", F.lit(NO_ID)) == c).alias("kept"), *([F.col("row_d").alias("d"), F.col("row_h").alias("h")] if row_keys else []))
+                      ((F.col("d") == c) & F.coalesce("leads", F.lit(True))).alias("kept"), *(["d", "h", "g"] if row_keys else []))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
