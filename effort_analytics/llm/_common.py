@@ -41,11 +41,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def doc_key(doc_id: Column, text: Column) -> list[Column]:
-    """Internal identity of a document row: the id (NULL: ``NO_ID``) and 17 bits of the text's
-    hash, so that rows that share an id but not the text are kept apart; wholly repeated rows
-    share it and count as one document."""
+    """Internal identity of a document row: the id (NULL: ``NO_ID``) and the text's 64-bit hash, so
+    that rows that share an id but not the text are kept apart; rows that repeat id and text share it. It
+    sorts as the unsigned hash."""
     return [F.coalesce(doc_id.cast("long"), F.lit(NO_ID)).alias("d"),
-            F.shiftrightunsigned(F.xxhash64(text), 47).alias("h")]
+            F.xxhash64(text).bitwiseXOR(F.lit(-(2**63))).alias("h")]
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from . import _rolling as R
 from ._common import batch_of, slices, staged
 
-_ANCHORS = pa.schema([("d", pa.int64()), ("p", pa.int64()), ("key", pa.int64()), ("full", pa.int64())])
+_ANCHORS = pa.schema([("d", pa.int64()), ("h", pa.int64()), ("p", pa.int64()), ("key", pa.int64()), ("full", pa.int64())])
 
 
 @dataclass(frozen=True)
@@ -37,15 +37,15 @@ class Windows:
     units: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-# p packs the text hash, the anchor, and the two distances into one number that sorts by (hash, anchor).
-def pack(h, a, lo, hi):
-    return (h << 46) | (a << 14) | ((a - lo) << 7) | (hi - lo)
+# p packs the anchor and the two distances into one number that sorts by anchor.
+def pack(a, lo, hi):
+    return (a << 14) | ((a - lo) << 7) | (hi - lo)
 
 
 def unpack(p):
-    a = (p >> 14) & 0xFFFFFFFF
+    a = p >> 14
     lo = a - ((p >> 7) & 127)
-    return p >> 46, a, lo, lo + (p & 127)
+    return a, lo, lo + (p & 127)
 
 
 def _find(win: Windows):
@@ -56,16 +56,16 @@ def _find(win: Windows):
                 x = R.anchors(*win.units(data, at), win.length, win.w, win.gram)
                 if len(x["doc"]):
                     row = x["doc"] + i
-                    yield batch_of(_ANCHORS, d=d[row], p=pack(h[row], x["a"], x["lo"], x["hi"]), key=x["key"], full=x["full"])
+                    yield batch_of(_ANCHORS, d=d[row], h=h[row], p=pack(x["a"], x["lo"], x["hi"]), key=x["key"], full=x["full"])
     return run
 
 
 def candidates(docs: DataFrame, win: Windows) -> DataFrame:
-    """(d, p, key, first, many, kinds) of every anchor whose key occurs elsewhere: whether it is
+    """(d, h, p, key, first, many, kinds) of every anchor whose key occurs elsewhere: whether it is
     the earliest with its surroundings, whether these occur at another place, and the number of
     different surroundings of the key. ``docs`` is :func:`_common.keyed`. Staged."""
-    found = docs.select("d", "h", "text").mapInArrow(_find(win), "d long, p long, key long, full long")
-    place = F.struct("d", "p")
+    found = docs.select("d", "h", "text").mapInArrow(_find(win), "d long, h long, p long, key long, full long")
+    place = F.struct("d", "h", "p")
     # Tables to join with are written first: Spark can split a hot key in a join of two scans, but
     # not where one side is still being aggregated.
     shared = staged(found.groupBy("key").count().where("count > 1").select("key"), "keys")
@@ -73,20 +73,20 @@ def candidates(docs: DataFrame, win: Windows) -> DataFrame:
     same = found.groupBy("key", "full").agg(F.min(place).alias("x"), F.max(place).alias("y"))
     kinds = same.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
     same = staged(same.join(kinds, "key").select("key", "full", "x", (F.col("x") != F.col("y")).alias("many"), "kinds"), "surroundings")
-    out = found.join(same, ["key", "full"]).select("d", "p", "key", (place == F.col("x")).alias("first"), "many", "kinds")
+    out = found.join(same, ["key", "full"]).select("d", "h", "p", "key", (place == F.col("x")).alias("first"), "many", "kinds")
     return staged(out, "candidates")
 
 
 def settled(cand: DataFrame, win: Windows, which) -> DataFrame:
     """(d, h, s, e) unit ranges of the windows of the candidates ``which``."""
-    a, lo = F.shiftright("p", 14).bitwiseAND(0xFFFFFFFF), F.shiftright("p", 7).bitwiseAND(127)
-    return cand.where(which).select("d", F.shiftright("p", 46).alias("h"), (a - lo).cast("int").alias("s"),
+    a, lo = F.shiftright("p", 14), F.shiftright("p", 7).bitwiseAND(127)
+    return cand.where(which).select("d", "h", (a - lo).cast("int").alias("s"),
                                     (a - lo + F.col("p").bitwiseAND(127) + win.length).cast("int").alias("e"))
 
 
 def regions(cand: DataFrame, docs: DataFrame, run, schema: str) -> DataFrame:
     """``run`` over the documents (d, h, text, ps, keys) with unsettled anchors."""
-    todo = cand.where("first AND kinds > 1").groupBy("d", F.shiftright("p", 46).alias("h")).agg(
+    todo = cand.where("first AND kinds > 1").groupBy("d", "h").agg(
         F.collect_set(F.struct("p", "key")).alias("x")).select("d", "h", F.col("x.p").alias("ps"), F.col("x.key").alias("keys"))
     return docs.select("d", "h", "text").join(todo, ["d", "h"]).mapInArrow(run, schema)
 

@@ -43,19 +43,19 @@ def word_windows(length: int) -> P.Windows:
 
 def _cut(win: P.Windows):
     """Unsettled anchors with the hashed words of their windows and of their prefixes."""
-    schema = pa.schema([("d", pa.int64()), ("p", pa.int64()), *((f"p{k}", pa.int64()) for k in PREFIXES), ("words", pa.binary())])
+    schema = pa.schema([("d", pa.int64()), ("h", pa.int64()), ("p", pa.int64()), *((f"p{k}", pa.int64()) for k in PREFIXES), ("words", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            d = batch.column("d").to_numpy()
+            d, h = batch.column("d").to_numpy(), batch.column("h").to_numpy()
             data, at = byte_rows(batch.column("text"))
             for r, ps in enumerate(batch.column("ps")):
                 values, _ = win.units(data[at[r]:at[r + 1]], np.array([0, at[r + 1] - at[r]]))
                 ps = ps.values.to_numpy()
-                _, a, lo, hi = P.unpack(ps)
+                a, lo, hi = P.unpack(ps)
                 roll = R.Rolling(values)
                 cut = [values[s:e + win.length].tobytes() for s, e in zip(lo, hi, strict=True)]
-                yield batch_of(schema, d=np.repeat(d[r], len(ps)), p=ps, words=pa.array(cut, pa.binary()),
+                yield batch_of(schema, d=np.repeat(d[r], len(ps)), h=np.repeat(h[r], len(ps)), p=ps, words=pa.array(cut, pa.binary()),
                                **{f"p{k}": roll.hash(a, a + k).view(np.int64) for k in PREFIXES})
     return run
 
@@ -74,7 +74,7 @@ def partitioned(rows: DataFrame, group_rows: int) -> DataFrame:
         if often.isEmpty():
             break
         left = left.join(often, f"p{k}", "left_semi")
-    return out.select("d", "p", "words", g.alias("g"))
+    return out.select("d", "h", "p", "words", g.alias("g"))
 
 
 def suffix_order(values: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,12 +110,12 @@ def _solve(win: P.Windows, task_rows: int):
 
     def run(batches):
         for t in P.whole_groups(batches, "g", task_rows):
-            d, p = t.column("d").to_numpy(), t.column("p").to_numpy()
+            d, h, p = (t.column(c).to_numpy() for c in "dhp")
             new = np.ones(len(d), bool)  # a repeated row is one document
-            new[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1])
+            new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (p[1:] != p[:-1])
             data, at = byte_rows(t.column("words"))
             values = np.frombuffer(data[at[0]:at[-1]].tobytes(), np.uint64)
-            h, _, lo, hi = P.unpack(p)
+            _, lo, hi = P.unpack(p)
             base = (at[:-1] - at[0]) // 8
             r = np.repeat(np.arange(len(d)), np.where(new, hi - lo + 1, 0))
             off = np.arange(len(r)) - np.searchsorted(r, r)
@@ -139,12 +139,12 @@ def later_spans(docs: DataFrame, length: int = 20, *, group_rows: int = 20_000,
     cand = P.candidates(docs, win)
     marks = P.settled(cand, win, "NOT first")
     kinds = ", ".join(f"p{k} long" for k in PREFIXES)
-    rows = partitioned(staged(P.regions(cand, docs, _cut(win), f"d long, p long, {kinds}, words binary"), "suffixes"), group_rows)
-    marks = marks.unionByName(rows.where("g IS NOT NULL").repartition("g").sortWithinPartitions("g", "d", "p")
+    rows = partitioned(staged(P.regions(cand, docs, _cut(win), f"d long, h long, p long, {kinds}, words binary"), "suffixes"), group_rows)
+    marks = marks.unionByName(rows.where("g IS NOT NULL").repartition("g").sortWithinPartitions("g", "d", "h", "p")
                               .mapInArrow(_solve(win, task_rows), "d long, h long, s int, e int"))
-    hot = rows.where("g IS NULL").select("d", "p").distinct()
+    hot = rows.where("g IS NULL").select("d", "h", "p").distinct()
     if not hot.isEmpty():
-        ps = hot.groupBy("d", F.shiftright("p", 46).alias("h")).agg(F.collect_list("p").alias("ps"))
+        ps = hot.groupBy("d", "h").agg(F.collect_list("p").alias("ps"))
         each = docs.select("d", "h", "text").join(ps, ["d", "h"]).mapInArrow(window_hashes(win), "d long, h long, i int, x long, y long")
         later = P.windows_hash_marks(each, True)
         marks = marks.unionByName(later.select("d", "h", F.col("i").alias("s"), (F.col("i") + length).alias("e")))
@@ -173,14 +173,23 @@ def substring_dedup(docs: DataFrame, length: int = 20, *, id_col: str = "doc_id"
     joined by spaces. A word goes if a window of ``length`` words that covers it also starts
     earlier: in a document with a smaller id, or further left in the same one.
 
-    NULL and empty texts have no words. A wholly repeated row counts as the same document; of
-    different texts with one id the order is that of their hashes; NULL ids come last. Other
-    columns are left out.
+    NULL and empty texts have no words. A row that repeats id and text counts as the same document;
+    of different texts with one id the order is that of their hashes. NULL ids come last, and each
+    row without an id is a document of its own: of equal ones, one is the earliest. Other columns
+    are left out.
     """
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     rows = keyed(docs, id_col, text_col)
     marks = P.gathered(later_spans(rows, length, **sizes))
-    return rows.join(marks, ["d", "h"], "left").select("doc_id", "text", "ss", "es").mapInArrow(
-        _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    # Rows without an id as one row of each text, and the number of its copies.
+    alone = rows.where("doc_id IS NULL").groupBy("d", "h").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    own = rows.where("doc_id IS NOT NULL").unionByName(alone.select("d", "h", F.lit(None).cast("long").alias("doc_id"), "text"))
+    words = F.regexp_count("text", F.lit(r"[^\x09-\x0D\x20]+"))
+    whole = lambda x: F.when(words >= length, F.array(x.cast("int")))
+    copies = alone.where("n > 1").select(F.col("n").alias("doc_id"), "text", whole(F.lit(0)).alias("ss"), whole(words).alias("es"))
+    copies = copies.mapInArrow(_digest, schema).withColumn("doc_id", F.explode(F.sequence(F.lit(2).cast("long"), "doc_id")))
+    return own.join(marks, ["d", "h"], "left").select("doc_id", "text", "ss", "es").mapInArrow(_digest, schema).unionByName(
+        copies.withColumn("doc_id", F.lit(None).cast("long")))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

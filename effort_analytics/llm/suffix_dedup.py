@@ -109,18 +109,18 @@ def repeated(rows: np.ndarray, ok_from: np.ndarray, ok_to: np.ndarray, anchor: i
 
 def _cut(win: P.Windows, hot: int):
     """Rows of the unsettled anchors: their bytes, or for hot keys the hashes of their windows."""
-    region = pa.schema([("d", pa.int64()), ("p", pa.int64()), ("key", pa.int64()), ("bytes", pa.binary())])
+    region = pa.schema([("d", pa.int64()), ("h", pa.int64()), ("p", pa.int64()), ("key", pa.int64()), ("bytes", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            d = batch.column("d").to_numpy()
+            d, h = batch.column("d").to_numpy(), batch.column("h").to_numpy()
             data, at = byte_rows(batch.column("text"))
             for r, (ps, keys) in enumerate(zip(batch.column("ps"), batch.column("keys"), strict=True)):
                 ps = np.asarray(ps.values.to_numpy())
-                _, _, lo, hi = P.unpack(ps)
+                _, lo, hi = P.unpack(ps)
                 base, view = at[r], data
                 cut = [view[base + s:base + e + win.length].tobytes() for s, e in zip(lo, hi, strict=True)]
-                yield batch_of(region, d=np.repeat(d[r], len(ps)), p=ps, key=keys.values, bytes=pa.array(cut, pa.binary()))
+                yield batch_of(region, d=np.repeat(d[r], len(ps)), h=np.repeat(h[r], len(ps)), p=ps, key=keys.values, bytes=pa.array(cut, pa.binary()))
     return run
 
 
@@ -129,11 +129,11 @@ def _solve(win: P.Windows, shard_rows: int, task_rows: int):
 
     def run(batches):
         for t in P.whole_groups(batches, "key", task_rows):
-            d, p = t.column("d").to_numpy(), t.column("p").to_numpy()
+            d, h, p = (t.column(c).to_numpy() for c in "dhp")
             new = np.ones(len(d), bool)  # a repeated row is one document
-            new[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1])
+            new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (p[1:] != p[:-1])
             data, at = byte_rows(t.column("bytes"))
-            h, a, lo, hi = P.unpack(p)
+            a, lo, hi = P.unpack(p)
             rows = np.full((len(d), width), _PAD, np.uint8)
             size = np.diff(at)
             row = np.repeat(np.arange(len(d)), size)
@@ -160,7 +160,7 @@ def window_hashes(win: P.Windows):
             for r, ps in enumerate(batch.column("ps")):
                 values, _ = win.units(data[at[r]:at[r + 1]], np.array([0, at[r + 1] - at[r]]))
                 one, two = R.Rolling(values), R.Rolling(R.mix(values))
-                _, _, lo, hi = P.unpack(ps.values.to_numpy())
+                _, lo, hi = P.unpack(ps.values.to_numpy())
                 i = np.unique(np.concatenate([np.arange(s, e + 1) for s, e in zip(lo, hi, strict=True)]))
                 yield batch_of(schema, d=np.repeat(d[r], len(i)), h=np.repeat(h[r], len(i)), i=i.astype(np.int32),
                                x=one.hash(i, i + win.length).view(np.int64), y=two.hash(i, i + win.length).view(np.int64))
@@ -174,8 +174,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, *, shard_rows: int = 8192
     win = byte_windows(length)
     cand = P.candidates(docs, win)
     marks = P.settled(cand, win, "many")
-    cut = P.regions(cand.where(F.col("kinds") <= hot), docs, _cut(win, hot), "d long, p long, key long, bytes binary")
-    marks = marks.unionByName(cut.repartition("key").sortWithinPartitions("key", "d", "p")
+    cut = P.regions(cand.where(F.col("kinds") <= hot), docs, _cut(win, hot), "d long, h long, p long, key long, bytes binary")
+    marks = marks.unionByName(cut.repartition("key").sortWithinPartitions("key", "d", "h", "p")
                               .mapInArrow(_solve(win, shard_rows, task_rows), "d long, h long, s int, e int"))
     if not cand.where(F.col("kinds") > hot).isEmpty():
         each = P.regions(cand.where(F.col("kinds") > hot), docs, window_hashes(win), "d long, h long, i int, x long, y long")
@@ -207,11 +207,13 @@ def suffix_dedup(docs: DataFrame, length: int = 200, *, id_col: str = "doc_id",
     left (not always UTF-8). A byte goes if any window of ``length`` bytes that covers it also
     starts elsewhere, in the same document or another.
 
-    NULL and empty texts have no bytes. A wholly repeated row counts as the same document, so it
-    doesn't by itself make its text repeated; a NULL id is one id. Other columns are left out.
+    NULL and empty texts have no bytes. A row that repeats id and text counts as the same document,
+    so it doesn't by itself make its text repeated; each row without an id is a document of its own.
+    Other columns are left out.
     """
     rows = keyed(docs, id_col, text_col)
-    marks = P.gathered(repeated_spans(rows, length, **sizes))
+    alike = rows.where("doc_id IS NULL").groupBy("d", "h", F.octet_length("text").alias("e")).count().where((F.col("count") > 1) & (F.col("e") >= length))
+    marks = P.gathered(repeated_spans(rows, length, **sizes).unionByName(alike.select("d", "h", F.lit(0).alias("s"), "e")))
     return rows.join(marks, ["d", "h"], "left").select("doc_id", "text", "ss", "es").mapInArrow(
         _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
