@@ -47,8 +47,12 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled by their calibrated probabilities."""
-    return _documents(mixing.calibrated(_documents(docs)).where("_kept"))
+    """Documents sampled by their calibrated ratios, so that expected token sums meet the target
+    shares: a ratio of 2.4 lets a document stand twice, and a third time with probability 0.4."""
+    ratio = F.col("_probability") * F.col("_weight")  # one of them is 1
+    times = F.floor(ratio) + (F.col("_u") < ratio - F.floor(ratio)).cast("long")
+    rows = mixing.calibrated(_documents(docs)).withColumn("_times", times).where("_times > 0")
+    return _documents(rows.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
