@@ -31,7 +31,7 @@ _L = r"\s+licen[cs]e"
 # label, SPDX identifiers, title, keywords that every match of the title holds
 _LICENSES = [
     ("mit", r"mit", r"mit(?:\s+x11)?" + _L, ("mit", "licen")),
-    ("mit-0", r"mit-0", r"mit\s+no\s+attribution(?:" + _L + ")?", ("no attribution",)),
+    ("mit-0", r"mit-0", r"mit\s+no\s+attribution(?:" + _L + ")?", ("mit", "no", "attribution")),
     ("x11", r"x11", r"x11" + _L, ("x11", "licen")),
     ("isc", r"isc", r"isc" + _L, ("isc", "licen")),
     ("apache-1", r"apache-1\.[01]", r"apache(?:\s+software)?" + _L + _V + r"1\.[01]", ("apache", "licen")),
@@ -60,7 +60,7 @@ _LICENSES = [
     ("edl-1", r"bsd-3-clause", r"eclipse\s+distribution" + _L, ("eclipse", "distribution")),
     ("cddl-1", r"cddl-1\.[01]", r"common\s+development\s+and\s+distribution" + _L, ("common", "distribution")),
     ("cpl-1", r"cpl-1\.0", r"common\s+public" + _L, ("common", "public")),
-    ("cpal-1", r"cpal-1\.0", r"common\s+public\s+attribution" + _L, ("public attribution",)),
+    ("cpal-1", r"cpal-1\.0", r"common\s+public\s+attribution" + _L, ("public", "attribution")),
     ("artistic-1", r"artistic-1\.0(?:-\w+)*", r"artistic" + _L + _V + r"1(?:\.0)?\b", ("artistic",)),
     ("artistic-2", r"artistic-2\.0", r"artistic" + _L + _V + r"2(?:\.0)?\b", ("artistic",)),
     ("artistic", r"artistic", r"artistic" + _L, ("artistic",)),
@@ -73,7 +73,7 @@ _LICENSES = [
     ("openssl", r"openssl", r"openssl" + _L, ("openssl",)),
     ("curl", r"curl", r"curl" + _L, ("curl",)),
     ("unlicense", r"unlicense", r"\bunlicense\b", ("unlicense",)),
-    ("wtfpl", r"wtfpl", r"\bwtfpl\b|do\s+what\s+the\s+f\S+\s+you\s+want\s+to\s+public" + _L, ("wtfpl|what the",)),
+    ("wtfpl", r"wtfpl", r"\bwtfpl\b|do\s+what\s+the\s+f\S+\s+you\s+want\s+to\s+public" + _L, ("wtfpl|what",)),
     ("public-domain", r"public-domain", r"(?:in|into|to)\s+the\s+public\s+domain", ("domain",)),
     ("psf-2", r"psf-2\.0|python-2\.0(?:\.1)?", r"python(?:\s+software\s+foundation)?" + _L, ("python",)),
     ("php-3", r"php-3\.0[01]?", r"php" + _L, ("php",)),
@@ -88,7 +88,7 @@ _LICENSES = [
     ("eupl-1.2", r"eupl-1\.[12]", r"european\s+union\s+public" + _L, ("european",)),
     ("cecill-2.1", r"cecill-(?:b|c|[12]\.[01])", r"cecill(?:-[bc])?(?:" + _L + ")?", ("cecill",)),
     ("odbl-1", r"odbl-1\.0", r"open\s+database" + _L, ("open", "database")),
-    ("odc-by", r"odc-by-1\.0", r"open\s+data\s+commons\s+attribution" + _L, ("open data",)),
+    ("odc-by", r"odc-by-1\.0", r"open\s+data\s+commons\s+attribution" + _L, ("open", "commons", "attribution")),
     ("pddl-1", r"pddl-1\.0", r"public\s+domain\s+dedication\s+and" + _L, ("dedication",)),
     ("lppl-1.3", r"lppl-1\.3[ac]?", r"latex\s+project\s+public" + _L, ("latex",)),
     ("ipl-1", r"ipl-1\.0", r"ibm\s+public" + _L, ("ibm",)),
@@ -99,7 +99,7 @@ _LICENSES = [
     ("w3c", r"w3c(?:-\d+)?", r"w3c(?:\s+software(?:\s+and\s+document)?)?(?:\s+notice\s+and)?" + _L, ("w3c",)),
     ("qpl-1", r"qpl-1\.0", r"q\s+public" + _L, ("q", "public")),
     ("sleepycat", r"sleepycat", r"sleepycat" + _L, ("sleepycat",)),
-    ("openrail", r"openrail(?:-\+\+|-m)?", r"(?:open\s*rail(?:-m)?|responsible\s+ai)" + _L, ("rail|responsible ai",)),
+    ("openrail", r"openrail(?:-\+\+|-m)?", r"(?:open\s*rail(?:-m)?|responsible\s+ai)" + _L, ("rail|responsible",)),
     ("cc0", r"cc0-1\.0", r"\bcc0\b(?:\s*1\.0)?|creative\s+commons\s+zero", ("cc0|zero",)),
     ("proprietary", r"licenseref-proprietary", r"all\s+rights\s+reserved", ("all", "reserved")),
 ]
