@@ -11,6 +11,9 @@ round and the other half. Each step can be undone, so the whole is a permutation
 (account names, keys) are split in two halves of characters, each moved within its own alphabet.
 
 Only documents with a digit or an @ are looked into; nothing is shuffled.
+
+A card number may stand in a run of digit groups with others (a CVV, an expiry date), so the
+run's parts are tried, too.
 """
 
 from __future__ import annotations
@@ -30,7 +33,9 @@ _DATE = r"\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"
 _PHONE = r"(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
 _SSN = r"\d{3}-\d{2}-\d{4}"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
-_CARD = r"\d(?:[ -]?\d){12,18}"
+#: What a run of digit groups stops before: a value of another kind.
+_STOP = rf"(?![ -](?:{_DATE}|{_PHONE}|{_SSN}|{_IP})(?![A-Za-z0-9]|[.-]\d))"
+_CARD = rf"\d(?:(?:{_STOP}[ -])?\d){{12,}}"
 #: kind and pattern, in the order in which they are tried
 KINDS = [("email", _EMAIL), ("key", _KEY_ID), ("secret", _SECRET), ("date", _DATE), ("phone", _PHONE), ("ssn", _SSN), ("ip", _IP), ("card", _CARD)]
 PATTERN = r"(?<![A-Za-z0-9._%+-])(?:" + "|".join(p for _, p in KINDS) + r")(?![A-Za-z0-9]|[.-]\d)"
@@ -120,6 +125,36 @@ def _card(m: Column, key: str) -> Column:
     return F.when(_luhn(d) % 10 == 0, _filled(m, new))
 
 
+def _cards(m: Column, key: str) -> Column:
+    """struct(out, n) of a run of digit groups: the run with each card replaced (NULL without one),
+    and their number. Sub-runs of one group, or of up to five groups of which all but the last have
+    4 to 12 digits, are tried from the left and the longest first; without a card among them, the
+    whole run, grouped in any way."""
+    groups = F.regexp_extract_all(m, F.lit("[0-9]+[ -]?"), F.lit(0))
+
+    def part(i, k):
+        return F.regexp_replace(F.array_join(F.slice(groups, i + 1, k), ""), "[ -]$", "")
+
+    def span(i):
+        used = F.lit(0)
+        for k in range(1, 6):  # the longest comes first
+            run = part(i, F.lit(k))
+            valid = (i + k <= F.size(groups)) & run.rlike(f"^(?:[0-9]{{4,12}}[ -]){{{k - 1}}}[0-9]+$") & F.length(_digits(run)).between(13, 19)
+            used = F.when(F.when(valid, _luhn(_digits(run)) % 10 == 0), F.lit(k)).otherwise(used)
+        return F.struct(i.alias("i"), used.alias("used"))
+
+    def add(x, s):
+        i, k = s["i"], s["used"]
+        new = F.concat(_card(part(i, k), key), F.regexp_extract(F.get(groups, i + k - 1), "[ -]?$", 0))
+        return (F.when(i < x["next"], x).when(k > 0, F.struct(F.concat(x["out"], new).alias("out"), (x["n"] + 1).alias("n"), (i + k).alias("next")))
+                .otherwise(F.struct(F.concat(x["out"], F.get(groups, i)).alias("out"), x["n"].alias("n"), x["next"].alias("next"))))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"), F.lit(0).alias("next"))
+    d = _digits(m)
+    whole = F.when(F.length(d) <= 19, _card(m, key))
+    return F.aggregate(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), span), start, add,
+                       lambda x: F.when(x["n"] > 0, F.struct(x["out"].alias("out"), x["n"].alias("n"))).otherwise(F.struct(whole.alias("out"), F.lit(1).alias("n"))))
+
+
 def _phone(m: Column, key: str) -> Column:
     """North American numbers: country code and the first digits of area and exchange stay, so that
     numbers valid in the plan stay so; the other eight digits move."""
@@ -176,21 +211,22 @@ def _secret(m: Column, key: str) -> Column:
     return F.concat(F.substring(m, F.lit(1), F.length(m) - F.length(value)), feistel_text(value, [HEX], key, "secret"))
 
 
-_MAKERS = {"email": _email, "key": _key_id, "secret": _secret, "date": _date, "phone": _phone, "ssn": _ssn, "ip": _ip, "card": _card}
+_MAKERS = {"email": _email, "key": _key_id, "secret": _secret, "date": _date, "phone": _phone, "ssn": _ssn, "ip": _ip}
 
 
 def replaced(text: Column, key: str) -> tuple[Column, Column]:
-    """(array of struct(kind, out) for each match of ``PATTERN``, array of the text between them);
-    ``out`` is NULL where the match isn't valid."""
+    """(array of struct(kind, m, new) for each match of ``PATTERN``, array of the text between them);
+    ``new``: ``out``, NULL where nothing in the match is valid, and ``n``, the values replaced in it."""
     def one(m):
         kind = None
         for name, pattern in reversed(KINDS):
             kind = F.when(m.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(kind)
         out = None
         for name, pattern in KINDS:
-            this = F.when(kind == name, _MAKERS[name](m, key))
+            new = _cards(m, key) if name == "card" else F.struct(_MAKERS[name](m, key).alias("out"), F.lit(1).alias("n"))
+            this = F.when(kind == name, new)
             out = this if out is None else F.coalesce(out, this)
-        return F.struct(kind.alias("kind"), m.alias("m"), out.alias("out"))
+        return F.struct(kind.alias("kind"), m.alias("m"), out.alias("new"))
     return F.transform(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), one), F.split(text, PATTERN, -1)
 
 
@@ -207,10 +243,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, *, text_col: str = "text") ->
     found, between = replaced(text, key)
     rest = [c for c in docs.columns if c not in ("pii_found", "pii_kinds", "_pii", "_gaps")]
     rows = docs.select(*(F.col(f"`{c}`") for c in rest), F.when(some, found).alias("_pii"), F.when(some, between).alias("_gaps"))
-    whole = F.array_join(F.transform("_gaps", lambda gap, i: F.concat(gap, F.coalesce(F.get("_pii", i)["out"], F.get("_pii", i)["m"], F.lit("")))), "")
+    whole = F.array_join(F.transform("_gaps", lambda gap, i: F.concat(gap, F.coalesce(F.get("_pii", i)["new"]["out"], F.get("_pii", i)["m"], F.lit("")))), "")
     new = F.when(F.size("_pii") > 0, whole).otherwise(text)
-    hits = F.filter("_pii", lambda x: x["out"].isNotNull())
-    return rows.select(*(new.alias(c) if c == text_col else F.col(f"`{c}`") for c in rest), F.coalesce(F.size(F.when(some, hits)), F.lit(0)).alias("pii_found"),
+    hits = F.filter("_pii", lambda x: x["new"]["out"].isNotNull())
+    return rows.select(*(new.alias(c) if c == text_col else F.col(f"`{c}`") for c in rest), F.coalesce(F.aggregate(hits, F.lit(0), lambda t, x: t + x["new"]["n"]), F.lit(0)).alias("pii_found"),
                        F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda x: x["kind"]))), ","), F.lit("")).alias("pii_kinds"))
 
 
