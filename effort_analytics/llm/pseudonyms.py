@@ -29,12 +29,14 @@ KEY = "not-a-secret"
 _EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _KEY_ID = r"AKIA[0-9A-Z]{16}"
 _SECRET = r"(?:password|passwd|secret|token|api_key)\s?=\s?\"?[0-9a-f]{12,64}"
-_DATE = r"\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"
-_PHONE = r"(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+_DATE = r"\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}"
+_SEPARATED = r"(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
 _SSN = r"\d{3}-\d{2}-\d{4}"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
 #: What a run of digit groups stops before: a value of another kind.
-_STOP = rf"(?![ -](?:{_DATE}|{_PHONE}|{_SSN}|{_IP})(?![A-Za-z0-9]|[.-]\d))"
+_STOP = rf"(?![ -](?:{_DATE}|{_SEPARATED}|{_SSN}|{_IP})(?![A-Za-z0-9]|[.-]\d))"
+#: North American numbers with separators or without any, and those with a + (8 to 15 digits).
+_PHONE = rf"{_SEPARATED}|[2-9]\d{{9}}|\+[1-9](?:(?:{_STOP}[ .-])?(?:\(\d{{1,4}}\)|\d)){{6,14}}"
 _CARD = rf"\d(?:(?:{_STOP}[ -])?\d){{12,}}"
 #: kind and pattern, in the order in which they are tried
 KINDS = [("email", _EMAIL), ("key", _KEY_ID), ("secret", _SECRET), ("date", _DATE), ("phone", _PHONE), ("ssn", _SSN), ("ip", _IP), ("card", _CARD)]
@@ -157,13 +159,20 @@ def _cards(m: Column, key: str) -> Column:
 
 def _phone(m: Column, key: str) -> Column:
     """North American numbers: country code and the first digits of area and exchange stay, so that
-    numbers valid in the plan stay so; the other eight digits move."""
+    numbers valid in the plan stay so; the other eight digits move. Numbers with another country
+    code: the + and the first four digits stay, so the code does; the others move."""
     d = _digits(m)
     code = F.substring(d, F.lit(1), F.length(d) - 10)
     own = F.substring(d, F.length(d) - 9, F.lit(10))
     x = feistel((_long(own, 2, 2) * 100 + _long(own, 5, 2)) * 10_000 + _long(own, 7, 4), 10_000, 10_000, key, "phone")
     new = F.lpad(x.cast("string"), 8, "0")
-    return _filled(m, F.concat(code, F.substring(own, 1, 1), F.substring(new, 1, 2), F.substring(own, 4, 1), F.substring(new, 3, 6)))
+    near = _filled(m, F.concat(code, F.substring(own, 1, 1), F.substring(new, 1, 2), F.substring(own, 4, 1), F.substring(new, 3, 6)))
+    n = F.length(d) - 4
+    high, low = (F.pow(F.lit(10.0), f(n / 2)).cast("long") for f in (F.ceil, F.floor))
+    y = feistel(F.substring(d, F.lit(5), n).cast("long"), high, low, key, "phone abroad")
+    far = _filled(m, F.concat(F.substring(d, 1, 4), F.lpad(y.cast("string"), n, F.lit("0"))))
+    american = (F.length(d) == 10) & ~m.startswith("+") | (F.length(d) == 11) & d.startswith("1")
+    return F.when(american, near).when(F.length(d).between(8, 15), far)
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -186,12 +195,38 @@ def _ip(m: Column, key: str) -> Column:
     return F.when(ok, F.array_join(octets, "."))
 
 
+def _month_first(m: Column) -> Column:
+    """The first day of a month, counted from that of ``FIRST_DAY``."""
+    return F.add_months(F.lit(FIRST_DAY).cast("date"), m.cast("int"))
+
+
+def _late_day(day: Column, key: str) -> Column:
+    """Permutation of the days after the twelfth of their months, which only dd/MM/yyyy can mean:
+    there are 9 * 9833 in 400 years."""
+    start = F.lit(FIRST_DAY).cast("date")
+
+    def before(m):  # late days before the month
+        return F.datediff(_month_first(m), start).cast("long") - 12 * m
+    month = (F.year(day) - int(FIRST_DAY[:4])) * 12 + F.month(day) - 1
+    x = feistel(before(month) + F.day(day) - 13, 9, 9833, key, "late date")
+    # A month has 18.4 late days on average, and no sum is off by as much as one month's.
+    guess = F.floor(x * 4800 / F.lit(9 * 9833.0)).cast("long")
+
+    def found(m):
+        return F.date_add(_month_first(m), (x - before(m) + 12).cast("int"))
+    return F.when(x < before(guess), found(guess - 1)).when(x >= before(guess + 1), found(guess + 1)).otherwise(found(guess))
+
+
 def _date(m: Column, key: str) -> Column:
-    out = None
-    for like, form in ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{2}\.", "dd.MM.yyyy"), (r"^\d{2}/", "MM/dd/yyyy")):
+    """A slashed date is MM/dd/yyyy where it can be, else dd/MM/yyyy. With a part of one digit, the
+    new one has no leading zeros either."""
+    out, start = None, F.lit(FIRST_DAY).cast("date")
+    for like, form in ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d+\.", "d.M.yyyy"), (r"^\d+/", "M/d/yyyy"), (r"^\d+/", "d/M/yyyy")):
         day = F.try_to_date(m, form)
-        n = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
-        new = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), feistel(n, 189, 773, key, "date").cast("int")), form)
+        n = F.datediff(day, start).cast("long")
+        new = _late_day(day, key) if form == "d/M/yyyy" else F.date_add(start, feistel(n, 189, 773, key, "date").cast("int"))
+        wide = form if "MM" in form else form.replace("d", "dd").replace("M", "MM")
+        new = F.when(m.rlike(r"^(?:\d{4}-|\d\d([./])\d\d\1)"), F.date_format(new, wide)).otherwise(F.date_format(new, form))
         this = F.when(m.rlike(like), F.when((n >= 0) & (n < 189 * 773), new))
         out = this if out is None else F.coalesce(out, this)
     return out
