@@ -51,15 +51,55 @@ def latest_path_string_max(paths: DataFrame, levels=("y", "m", "d", "hm")) -> Da
     return out
 
 
+def load_order(column: Column | str) -> Column:
+    """Sort key of a load id: its runs of digits compare as numbers, what is between them as text, so
+    that load 10 comes after load 9 and 2024-10-2 before 2024-10-14. NULL for a NULL id."""
+    c = F.col(column) if isinstance(column, str) else column
+    runs = F.regexp_extract_all(c.cast("string"), F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+
+    def one(run):
+        digits = F.regexp_replace(run, "^0+(?=.)", "")
+        return F.when(run.rlike("^[0-9]"), F.concat(F.lit("0"), F.lpad(F.length(digits).cast("string"), 4, "0"), digits)).otherwise(run)
+    return F.transform(runs, one)
+
+
 def newest_load(df: DataFrame, column: str = "load_id") -> DataFrame:
     """Rows of the newest load of a table that keeps every load, without ``column``.
 
-    Each load is a whole snapshot that supersedes the earlier ones, so that adding
-    them up would count a row once a day. Loads compare by their id (ISO dates). The
-    other side of the join is one row, and prunes the partitions of the older loads.
-    A table without the column has one load only and is returned as it is.
+    For loads that are whole snapshots, each superseding the earlier ones, so that adding
+    them up would count a row once a day (:func:`newest_entries` is for others). Loads
+    compare by :func:`load_order`. The other side of the join is one row, and prunes the
+    partitions of the older loads. A table without the column has one load only and is
+    returned as it is.
     """
     if column not in df.columns:
         return df
-    newest = df.agg(F.max(column).alias(column))
+    newest = df.agg(F.max_by(column, load_order(column)).alias(column))
     return df.join(F.broadcast(newest), column, "left_semi").drop(column)
+
+
+def newest_entries(df: DataFrame, keys, column: str = "load_id") -> DataFrame:
+    """Of each entry, the rows of the newest load that has it, without ``column``.
+
+    An entry is named by ``keys`` (NULL is a value like others). A load may hold part of the
+    entries only: those it holds replace the ones of earlier loads, however many rows each
+    has there, and the others stay. So loading one again, or a snapshot after another,
+    neither doubles nor hides anything; what a later load leaves out isn't taken back.
+
+    The newest load of each entry is a partial aggregate over narrow rows (keys, load), and
+    the rows are joined to it. Its side of the join is dealt out anew, so that adaptive
+    execution can split the rows of a hot entry.
+    """
+    if column not in df.columns:
+        return df
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = load_order(column)
+    newest = df.groupBy(*keys).agg(F.max(order).alias("_order"))
+    # always 0, but computed: one more join key than the aggregate's, so its rows are dealt out for the join
+    apart = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1))
+    newest = newest.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_order").alias("_newest"), apart.alias("_key"))
+    rows = df.withColumn("_order", order).withColumn("_apart", apart)
+    same = (F.col("_order") == F.col("_newest")) & (F.col("_apart") == F.col("_key"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return rows.join(newest, same, "left_semi").drop(column, "_order", "_apart")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from .calendar import calendar_rows_bound, generate_calendar
 from ..operators.tables import empty_like
+from ..session import staged
 from .refine import (refine_buckets, refine_leaves, refine_members, refine_planner_codes,
                      refine_productivity_types, unified_tasks, load_tasks)
 
@@ -54,7 +55,6 @@ SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
-# tables that grow with the scale factor (scans spread when under-split)
 
 
 class Tables:
@@ -66,8 +66,9 @@ class Tables:
     driver-side analysis and footer reads from growing with plan size.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, stage: bool = False):
         self.spark = spark
+        self.stage = stage  # keep refined members and leaves as tables, as the jobs do
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
 
@@ -232,8 +233,8 @@ def raw_productivity_types(t: Tables) -> DataFrame:
         F.when(F.col("p_type") == ADMIN_TYPE, F.lit("Mixed"))
         .when(F.col("p_type").isin("STANDARD", "MEDIUM", "LARGE"), F.lit(C.PRODUCTIVE))
         .otherwise(F.lit(C.NONPRODUCTIVE)).alias("Type"))
-    leave_types = (raw_leaves(t).select(F.col("Type").alias("Category")).where(F.col("Category").isNotNull())
-                   .distinct().select("Category", F.lit("Leave").alias("Type")))
+    entered = leaves(t).select(F.col("TimeOffTypeforTimeOffEntry").alias("Category"))
+    leave_types = entered.where(F.col("Category").isNotNull()).distinct().select("Category", F.lit("Leave").alias("Type"))
     return buckets.unionByName(leave_types).withColumn("Unnamed: 4", F.lit(None).cast("string"))
 
 
@@ -241,12 +242,14 @@ def raw_productivity_types(t: Tables) -> DataFrame:
 
 @memo
 def members(t: Tables) -> DataFrame:
-    return refine_members(raw_members(t), raw_roles(t), at=RUN_AT)
+    out = refine_members(raw_members(t), raw_roles(t), at=RUN_AT)
+    return staged(out, "members") if t.stage else out
 
 
 @memo
 def leaves(t: Tables) -> DataFrame:
-    return refine_leaves(raw_leaves(t), at=RUN_AT)
+    out = refine_leaves(raw_leaves(t), at=RUN_AT)
+    return staged(out, "leaves") if t.stage else out
 
 
 @memo

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import (bracketed, code_found_flag, full_name, not_like_prefix,
                          productivity_class, year_month)
 from ..operators.joins import join_bounded
+from ..operators.lookup import BROADCAST_BYTES, Lookup, join_lookup, measure_lookups
 
 TASK_FACT_COLUMNS = [
     "Title", "Date", "DateKey", "DateYear", "DateMonthName", "DateMonthNum", "DateYearMonthKey",
@@ -158,6 +159,134 @@ def publish_task_leave_fact(rows: DataFrame, calendar: DataFrame, productivity_t
     return full.select(*TASK_LEAVE_FACT_COLUMNS)
 
 
+# -- facts from measured lookups: duplicates go before the rows are widened -------------
+
+_MEMBER = ["AssignedTo", "Role", "Squad", "ManagerName", "WorkdayID"]
+
+
+def _person() -> Column:
+    """Names a member by what a fact shows: members that look alike there are one."""
+    return F.sha2(F.to_json(F.struct(*_MEMBER), {"ignoreNullFields": "false"}), 256)
+
+
+def _keyed(members: DataFrame, key: str) -> DataFrame:
+    """(key, person): a fact carries the person's hash until its duplicates are gone."""
+    return _member_part(members, key).select(F.col("_mkey").alias("key"), _person().alias("_person"))
+
+
+def _people(members: DataFrame) -> DataFrame:
+    """(person, attributes), one row a person."""
+    return _member_part(members, "WorkdayID").select(_person().alias("_person"), *_MEMBER).distinct()
+
+
+def _categories(buckets: DataFrame) -> DataFrame:
+    return buckets.select(F.col("BucketID").alias("key"), F.col("BucketName").alias("Category"))
+
+
+def _types(productivity_types: DataFrame) -> DataFrame:
+    return productivity_types.select(F.col("Category").alias("key"), F.col("Type").alias("_ptype")).distinct()
+
+
+def _months(calendar: DataFrame, min_year: int) -> DataFrame:
+    return calendar.where(F.col("DateYear") >= min_year).select(year_month("DateShort").alias("YearMonth")).distinct()
+
+
+def target_lookup(expected: DataFrame, planned: DataFrame, people: Lookup, months: Lookup) -> Lookup:
+    """(WorkdayID, YearMonth) -> TargetHours, TotalHoursToDeduct, for the workers of ``people`` and these
+    months: one row a worker and month that has either, so that their numbers bound its size."""
+    both = expected.select("WorkdayID", "YearMonth", "TargetHours").unionByName(
+        planned.select("WorkdayID", "YearMonth", "TotalHoursToDeduct"), allowMissingColumns=True)
+    both = both.groupBy("WorkdayID", "YearMonth").agg(F.max("TargetHours").alias("TargetHours"), F.max("TotalHoursToDeduct").alias("TotalHoursToDeduct"))
+    rows = people.rows * months.rows
+    size = 72 * rows
+    if size <= BROADCAST_BYTES:
+        ids = Lookup(people.df.select("WorkdayID").distinct(), ("WorkdayID",), people.rows, people.bytes, True)
+        both = join_lookup(join_lookup(both, ids, "WorkdayID", "left_semi"), months, "YearMonth", "left_semi")
+    return Lookup(both, ("WorkdayID", "YearMonth"), rows, size, True)
+
+
+def _unique(lookups: dict[str, Lookup]) -> bool:
+    return all(x.unique and x.fits() for x in lookups.values())
+
+
+def task_fact(tasks: DataFrame, members: DataFrame, calendar: DataFrame, buckets: DataFrame, planner_codes: DataFrame,
+              productivity_types: DataFrame, *, min_year: int = C.MIN_REPORT_YEAR, completed: int = C.COMPLETED_PROGRESS,
+              admin: str = C.ADMIN_CATEGORY, leads: str = C.LEADS_CODE, calendar_rows_bound: int | None = None) -> DataFrame:
+    """The rows of :func:`publish_task_fact`, with the lookups measured first.
+
+    Where they fit a broadcast and have one row a key, the fact is reduced to what tells its rows
+    apart (title, date, category, code, hours and a hash that names the member), these six columns
+    are made distinct, and the rest is looked up for what is left. Each column that comes later
+    depends on those six alone, so the result is the same; nothing is exchanged on a lookup's key. Else
+    the plain form runs.
+    """
+    codes = planner_codes.select(F.col("Code").alias("key"), F.col("Code").alias("PlannerCodeKey"), F.col("Name").alias("PlannerName"))
+    x = measure_lookups(who=(_keyed(members, "Office365ID"), "key"), people=(_people(members), "_person"), category=(_categories(buckets), "key"),
+                        kind=(_types(productivity_types), "key"), code=(codes, "key"), day=(_calendar_part(calendar, min_year), "DateShort"))
+    if not _unique(x):
+        return publish_task_fact(tasks, members, calendar, buckets, planner_codes, productivity_types, min_year=min_year,
+                                 completed=completed, admin=admin, leads=leads, calendar_rows_bound=calendar_rows_bound)
+    s = tasks.where((F.col("Progress") == completed) & (F.col("TC_ProductiveDate") >= _year_start(min_year)))
+    s = join_lookup(join_lookup(s, x["who"], "CreatedByOffice365ID", "inner"), x["category"], "BucketID", "inner")
+    s = s.select("Title", F.col("TC_ProductiveDate").alias("Date"), "Category", F.col("TC_PlannerCode").alias("PlannerCode"), "Hours", "_person").distinct()
+    s = join_lookup(join_lookup(s, x["people"], "_person", "inner"), x["day"], "Date", "inner")
+    s = join_lookup(join_lookup(s, x["kind"], "Category", "inner"), x["code"], bracketed("PlannerCode"), "left")
+    return (s.withColumn("ProductivityType", productivity_class("Category", "PlannerCode", "_ptype", admin, leads))
+            .withColumn("IsPlannerCodeCorrect", code_found_flag("PlannerCodeKey")).select(*TASK_FACT_COLUMNS))
+
+
+def task_and_leave_fact(tasks: DataFrame, leaves: DataFrame, members: DataFrame, buckets: DataFrame, calendar: DataFrame,
+                        productivity_types: DataFrame, expected: DataFrame, planned: DataFrame, *,
+                        min_year: int = C.MIN_REPORT_YEAR, completed: int = C.COMPLETED_PROGRESS,
+                        holiday_prefix: str = C.HOLIDAY_LEAVE_PREFIX, admin: str = C.ADMIN_CATEGORY, leads: str = C.LEADS_CODE,
+                        keep_duplicates: bool = False, tasks_unique: bool = False,
+                        date_range: tuple[dt.date, dt.date] | None = None, calendar_rows_bound: int | None = None) -> DataFrame:
+    """The rows of :func:`task_leave_rows` and :func:`publish_task_leave_fact`, with the lookups
+    measured first.
+
+    Where they fit a broadcast and have one row a key, duplicates go while a row is (task id, date,
+    category, code, hours, hash of the member): that decides all other columns. With ``tasks_unique``
+    (one row a task id) only leave rows, and tasks without an id, are compared at all. Else the
+    plain form runs.
+    """
+    x = measure_lookups(account=(_keyed(members, "Office365ID"), "key"), worker=(_keyed(members, "WorkdayID"), "key"), people=(_people(members), "_person"),
+                        category=(_categories(buckets), "key"), kind=(_types(productivity_types), "key"), day=(_calendar_part(calendar, min_year), "DateShort"),
+                        month=(_months(calendar, min_year), "YearMonth"))
+    if not _unique(x):
+        rows = task_leave_rows(tasks, leaves, members, buckets, calendar, completed=completed, holiday_prefix=holiday_prefix,
+                               tasks_unique=tasks_unique, date_range=date_range, calendar_rows_bound=calendar_rows_bound)
+        return publish_task_leave_fact(rows, calendar, productivity_types, expected, planned, min_year=min_year, admin=admin,
+                                       leads=leads, keep_duplicates=keep_duplicates, calendar_rows_bound=calendar_rows_bound)
+    t = tasks.where((F.col("Progress") == completed) & (F.col("TC_ProductiveDate") >= _year_start(min_year)))
+    lv = leaves.where((F.col("TimeOffDate") >= _year_start(min_year)) & not_like_prefix("TimeOffTypeforTimeOffEntry", holiday_prefix))
+    if date_range is not None:
+        lo, hi = (F.lit(x) for x in date_range)
+        t, lv = t.where(F.col("TC_ProductiveDate").between(lo, hi)), lv.where(F.col("TimeOffDate").between(lo, hi))
+    if not tasks_unique and keep_duplicates:
+        t = t.distinct()
+    t = join_lookup(join_lookup(t, x["account"], "CreatedByOffice365ID", "inner"), x["category"], "BucketID", "left")
+    t = t.select("TaskID", F.col("TC_ProductiveDate").alias("Date"), "Category", F.col("TC_PlannerCode").alias("PlannerCode"),
+                 F.col("Hours").cast("decimal(21,4)").alias("Hours"), "_person")
+    lv = join_lookup(lv, x["worker"], "EmployeeID", "inner")
+    kind_of_leave = F.col("TimeOffTypeforTimeOffEntry")
+    lv = lv.select(F.lit("").alias("TaskID"), F.col("TimeOffDate").alias("Date"), kind_of_leave.alias("Category"), kind_of_leave.alias("PlannerCode"),
+                   (F.col("TC_Hours") * F.col("Unit")).cast("decimal(21,4)").alias("Hours"), "_person")
+    if keep_duplicates:
+        rows = t.unionByName(lv)
+    elif tasks_unique:
+        named = F.coalesce(F.col("TaskID") != "", F.lit(False))
+        rows = t.where(named).unionByName(t.where(~named).unionByName(lv).distinct())
+    else:
+        rows = t.unionByName(lv).distinct()
+    j = join_lookup(join_lookup(rows, x["day"], "Date", "inner"), x["kind"], "Category", "left")
+    j = join_lookup(j, x["people"], "_person", "inner").withColumn("YearMonth", year_month("Date"))
+    j = join_lookup(j, target_lookup(expected, planned, x["people"], x["month"]), ["WorkdayID", "YearMonth"], "left")
+    deduct = F.coalesce(F.col("TotalHoursToDeduct"), F.lit(0))
+    return j.select("*", productivity_class("Category", "PlannerCode", "_ptype", admin, leads).alias("ProductivityType"),
+                    F.concat(F.col("WorkdayID").cast("string"), F.col("DateYearMonthKey")).alias("WorkdayIDYearMonthKey"),
+                    (F.col("TargetHours") - deduct).alias("FinalTargetHours")).withColumn("TotalHoursToDeduct", deduct).select(*TASK_LEAVE_FACT_COLUMNS)
+
+
 def distinct_full_names(people: DataFrame) -> DataFrame:
     """Distinct ``GivenName || ' ' || Surname`` across all files."""
     return people.select(full_name("GivenName", "Surname").alias("FullName")).distinct()

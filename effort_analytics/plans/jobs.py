@@ -15,15 +15,17 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
-from ..operators.snapshot import newest_load
+from ..operators.snapshot import newest_entries, newest_load
 from ..operators.tables import empty_like
-from ..sources import readers, sinks
+from ..sources import keyed, readers, sinks, versions
 from . import calendar as cal_plans
 from . import facts, refine, targets
 
 MEMBER_COLUMNS = ["Office365ID", "WorkdayID", "GivenName", "Surname", "AssignedTo (Display Name in Teams)",
                   "JobTitle", "ManagerName", "Squad", "StartDate", "EndDate"]
 ISSUE_COLUMNS = ["Summary", "IssueKey", "Status", "Created", "Resolved", "TimeSpent", "Assignee", "Projectname"]
+#: What names a leave entry among loads: a worker, a day and a type.
+LEAVE_ENTRY = ["EmployeeID", "TimeOffDate", "TimeOffTypeforTimeOffEntry"]
 LEAVE_COLUMNS = ["TimeOffDate", "Worker", "TimeOffAbsenceTable", "Type", "Approved", "UnitofTime"]
 PLANNER_JSON_SCHEMA = ("Title STRING, TaskID STRING, BucketID STRING, Progress STRING, "
                        "CreatedByOffice365ID STRING, CreatedDate STRING, StartDate STRING, DueDate STRING, "
@@ -59,18 +61,21 @@ def _write(df: DataFrame, spec: C.TableSpec, mode: str = "overwrite") -> None:
         sinks.register_table(df.sparkSession, spec.database, spec.table, spec.output_path)
 
 
-def _read(spark: SparkSession, spec: C.TableSpec) -> DataFrame:
-    """A table's current rows: through the catalogue where it is registered (a folder may hold
-    several versions), else the folder."""
+def read_refined(spark: SparkSession, spec: C.TableSpec) -> DataFrame:
+    """A table's current rows: through the catalogue where it is registered, else the current version
+    of a versioned folder, else the folder."""
     current = _current(spark, spec)
     return spark.read.parquet(spec.output_path) if current is None else current
 
 
 def _current(spark: SparkSession, spec: C.TableSpec) -> DataFrame | None:
-    """The current version of a versioned table (tracked by the catalogue), if any."""
+    """The current version of a versioned table, as the catalogue or the folder itself tells it."""
     if spec.database and spark.catalog.tableExists(spec.qualified_name):
         return spark.table(spec.qualified_name)
-    return None
+    found = versions.current(spark, spec.output_path)
+    if found is None:
+        return None
+    return keyed.read_keyed(spark, spec.output_path) if "parts" in found[1] else versions.read_current(spark, spec.output_path)
 
 
 # -- refine jobs -------------------------------------------------------------------
@@ -96,8 +101,9 @@ def refine_members_job(spark: SparkSession, spec: C.TableSpec, roles_src: str, *
 
 def refine_leaves_job(spark: SparkSession, spec: C.TableSpec, *, load_id: str,
                       at: dt.datetime | None = None) -> None:
-    """Leave entries of the newest snapshot, kept per ``load_id``. A snapshot is whole and
-    supersedes the earlier ones; readers take the newest (``operators.newest_load``)."""
+    """Leave entries of the newest snapshot, kept per ``load_id``. A snapshot may hold new or
+    changed entries only: readers take the newest load of each (``operators.newest_entries``
+    by ``LEAVE_ENTRY``)."""
     src = latest_snapshot_path(spark, spec.src_paths[0])
     raw = readers.read_workbooks(spark, src, C.SHEET_LEAVES, LEAVE_COLUMNS)
     sinks.append_load(refine.refine_leaves(raw, at=at), spec.output_path, load_id)
@@ -107,16 +113,17 @@ def refine_tasks_job(spark: SparkSession, spec: C.TableSpec, members_spec: C.Tab
                      at: dt.datetime | None = None, buckets: int = 256) -> None:
     """Newest planner JSON snapshot + newest issue workbook snapshot, normalised,
     unioned, reduced to one row per task id and upserted into the task table, which
-    is stored by key bucket: only touched buckets are read and written."""
+    is stored by key bucket: only touched buckets are read and written, and they are
+    published in one step (in the catalogue: as a view of the current version)."""
     planner_src = latest_snapshot_path(spark, spec.src_paths[0])
     issue_src = latest_snapshot_path(spark, spec.src_paths[1])
     planner = readers.read_json(spark, planner_src, PLANNER_JSON_SCHEMA)
     issues = readers.read_workbooks(spark, issue_src, C.SHEET_ISSUES, ISSUE_COLUMNS)
-    incoming = refine.unified_tasks(planner, issues, _read(spark, members_spec), at=at)
-    sinks.upsert_partitions(refine.load_tasks(empty_like(incoming), incoming), spec.output_path, ["TaskID"],
-                            buckets=buckets)
+    incoming = refine.unified_tasks(planner, issues, read_refined(spark, members_spec), at=at)
+    keyed.upsert_keyed(refine.load_tasks(empty_like(incoming), incoming), spec.output_path, ["TaskID"],
+                       buckets=buckets)
     if spec.database:
-        sinks.register_table(spark, spec.database, spec.table, spec.output_path)
+        keyed.register_keyed(spark, spec.database, spec.table, spec.output_path)
 
 
 def refine_date_job(spark: SparkSession, spec: C.TableSpec, *, as_of: dt.date,
@@ -128,7 +135,7 @@ def refine_date_job(spark: SparkSession, spec: C.TableSpec, *, as_of: dt.date,
         out = cal_plans.date_dimension(spark, as_of, run_at=at)
     else:
         out = cal_plans.upsert_calendar(existing.select(*cal_plans.CALENDAR_COLUMNS), as_of, run_at=at)
-    return sinks.replace_table(out, spec.output_path, spec.qualified_name)
+    return sinks.replace_table(out, spec.output_path, spec.qualified_name if spec.database else None)
 
 
 # -- publish jobs ------------------------------------------------------------------
@@ -136,22 +143,24 @@ def refine_date_job(spark: SparkSession, spec: C.TableSpec, *, as_of: dt.date,
 def publish_task_job(spark: SparkSession, out: C.TableSpec, *, tasks: DataFrame, members: DataFrame,
                      calendar: DataFrame, buckets: DataFrame, planner_codes: DataFrame,
                      productivity_types: DataFrame, min_year: int = C.MIN_REPORT_YEAR) -> None:
-    _write(facts.publish_task_fact(tasks, members, calendar, buckets, planner_codes, productivity_types,
-                                   min_year=min_year), out)
+    _write(facts.task_fact(tasks, members, calendar, buckets, planner_codes, productivity_types,
+                           min_year=min_year), out)
 
 
 def publish_task_and_leaves_job(spark: SparkSession, out: C.TableSpec, *, tasks: DataFrame, leaves: DataFrame,
                                 members: DataFrame, calendar: DataFrame, buckets: DataFrame,
                                 productivity_types: DataFrame, as_of: dt.date,
-                                min_year: int = C.MIN_REPORT_YEAR, load_id: str | None = None) -> None:
+                                min_year: int = C.MIN_REPORT_YEAR, load_id: str | None = None,
+                                whole_snapshots: bool = False, clip_leave_to_as_of: bool = False) -> None:
     """The task-and-leave fact, overwritten; with ``load_id`` each load is kept, and
     readers take the newest (appending without that doubles hours on a rerun).
-    Of ``leaves`` the newest load is read."""
-    leaves = newest_load(leaves)
-    rows = facts.task_leave_rows(tasks, leaves, members, buckets, calendar)
+    Of ``leaves`` the newest load of each entry is read, or, with ``whole_snapshots``,
+    the newest load alone. ``clip_leave_to_as_of`` leaves out planned leave after the
+    run date, as the target does with working days."""
+    leaves = newest_load(leaves) if whole_snapshots else newest_entries(leaves, LEAVE_ENTRY)
     expected = targets.expected_hours(members, calendar, as_of, min_year)
-    planned = targets.planned_leave_deduction(leaves, calendar)
-    fact = facts.publish_task_leave_fact(rows, calendar, productivity_types, expected, planned, min_year=min_year)
+    planned = targets.planned_leave_deduction(leaves, calendar, as_of=as_of if clip_leave_to_as_of else None)
+    fact = facts.task_and_leave_fact(tasks, leaves, members, buckets, calendar, productivity_types, expected, planned, min_year=min_year)
     if load_id:
         sinks.append_load(fact, out.output_path, load_id)
     else:

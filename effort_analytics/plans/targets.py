@@ -110,11 +110,15 @@ def expected_hours(members: DataFrame, calendar: DataFrame, as_of: dt.date,
 
 
 def planned_leave_deduction(leaves: DataFrame, calendar: DataFrame, *,
-                            excluded_types=C.UNPLANNED_LEAVE_TYPES,
+                            excluded_types=C.UNPLANNED_LEAVE_TYPES, as_of: dt.date | None = None,
                             calendar_rows_bound: int | None = None) -> DataFrame:
     """Sum of ``TC_Hours * Unit`` per member-month over days present in the calendar,
     leaving out unplanned types (trimmed, upper-cased; a NULL type *counts*).
-    Negative units (cancellations) subtract."""
+    Negative units (cancellations) subtract. With ``as_of`` days after it don't count,
+    so that a month under way is cut at the same day as its target
+    (:func:`expected_hours`); without, the whole month's leave is deducted."""
+    if as_of is not None:
+        leaves = leaves.where(F.col("TimeOffDate") <= F.lit(as_of))
     keep = leaves.where(F.col("TimeOffDate").isNotNull()
                         & not_in_normalized("TimeOffTypeforTimeOffEntry", excluded_types))
     cal_days = calendar.select(F.col("DateShort").alias("TimeOffDate"))

@@ -31,22 +31,20 @@ def task_leave_fact(spark, sf_dir, *, date_range=None):
 
     With ``date_range`` every input is restricted to those dates first (only
     valid for readers that filter the fact to the same dates)."""
-    t = A.Tables(spark, sf_dir)
+    t = A.Tables(spark, sf_dir, stage=True)
     members = A.members(t)
     calendar = A.calendar(spark)
-    leaves = A.leaves(t)
-    rows = facts.task_leave_rows(A.tasks(t), leaves, members, A.buckets(t), calendar, tasks_unique=True,
-                                 date_range=date_range, calendar_rows_bound=A.CAL_ROWS)
+    leaves = dated = A.leaves(t)
     months = None
     if date_range is not None:
         lo, hi = date_range
         months = (lo.replace(day=1), hi.replace(day=1))
-        leaves = leaves.where(F.col("TimeOffDate").between(F.lit(lo), F.lit(hi)))
+        dated = leaves.where(F.col("TimeOffDate").between(F.lit(lo), F.lit(hi)))
     expected = targets.expected_hours(members, calendar, A.AS_OF, A.MIN_YEAR, months=months)
-    planned = targets.planned_leave_deduction(leaves, calendar, calendar_rows_bound=A.CAL_ROWS)
-    return facts.publish_task_leave_fact(rows, calendar, A.productivity_types(t), expected, planned,
-                                         min_year=A.MIN_YEAR, leads=A.LEADS,
-                                         calendar_rows_bound=A.CAL_ROWS)
+    planned = targets.planned_leave_deduction(dated, calendar, calendar_rows_bound=A.CAL_ROWS)
+    return facts.task_and_leave_fact(A.tasks(t), leaves, members, A.buckets(t), calendar, A.productivity_types(t),
+                                     expected, planned, min_year=A.MIN_YEAR, leads=A.LEADS, tasks_unique=True,
+                                     date_range=date_range, calendar_rows_bound=A.CAL_ROWS)
 
 
 @query("flag_under_target", FLAG_COLUMNS, f"""
@@ -107,7 +105,7 @@ WHERE S.Progress = 100 AND S.TC_ProductiveDate IS NOT NULL AND D.DateYear >= {MI
        covers="C11 J2 J4 J5 F1 F2 C13")
 def publish_task_fact(spark, sf_dir):
     t = A.Tables(spark, sf_dir)
-    return facts.publish_task_fact(A.tasks(t), A.members(t), A.calendar(spark), A.buckets(t),
+    return facts.task_fact(A.tasks(t), A.members(t), A.calendar(spark), A.buckets(t),
                                    A.planner_codes(t), A.productivity_types(t), min_year=A.MIN_YEAR,
                                    leads=A.LEADS, calendar_rows_bound=A.CAL_ROWS)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library wants. AQE re-plans joins from
 # runtime sizes (broadcast when a side turns out small, split skewed
@@ -45,11 +48,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for checkpoints and staged tables, as
-    ``spark.checkpoint.dir`` or the context names it; raises where it is unset."""
+    ``spark.checkpoint.dir`` or the context names it. Where neither does, a session
+    whose only executor is this process (``local[..]``, as in tests) gets a folder of
+    its own; on a cluster it raises."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = jdir.get() if jdir.isDefined() else None
     if path:
         return path
+    if spark.sparkContext.master.partition("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ea-shared-"))
+        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
     raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: it is worked out once, however
+    often the result is used, and a lost executor costs no more than reading it."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,11 +6,13 @@ and the plan size does not depend on the number of files.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from . import xlsx
+from . import versions, xlsx
 
 
 def string_schema(columns) -> StructType:
@@ -56,14 +58,17 @@ def read_csv_tagged(spark: SparkSession, path: str, schema: StructType | None =
 
 def read_workbooks(spark: SparkSession, path: str, sheet: str, columns, *,
                    glob: str = "*.xlsx", file_column: str | None = None,
-                   recursive: bool = True) -> DataFrame:
+                   recursive: bool = True, batch_rows: int = 4096) -> DataFrame:
     """The named sheet of every ``.xlsx`` workbook under ``path``.
 
     A Spark job: ``binaryFile`` lists and reads the files on the executors and
-    ``mapInPandas`` parses each workbook inside its task (standard-library zip +
-    XML, one file per row). The first row is the header; cells are returned as
-    text under the given ``columns`` (missing headers give NULL, extra ones are
-    ignored). Date-formatted cells come out as ISO ``yyyy-MM-dd`` text.
+    ``mapInArrow`` parses each workbook inside its task (standard-library zip +
+    XML), row by row: beside the files of the task's partition (at most
+    ``spark.sql.files.maxPartitionBytes``, or one file) it holds one sheet's
+    shared texts and ``batch_rows`` rows. The first row is the header; cells are
+    returned as text under the given ``columns`` (missing headers give NULL,
+    extra ones are ignored). Date-formatted cells come out as ISO ``yyyy-MM-dd``
+    text, in either date system (1900, 1904).
     """
     columns = list(columns)
     schema = string_schema(columns + ([file_column] if file_column else []))
@@ -73,20 +78,82 @@ def read_workbooks(spark: SparkSession, path: str, sheet: str, columns, *,
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower()).load(path)
              .select("path", "content"))
+    return files.mapInArrow(workbook_rows(sheet, columns, file_column, batch_rows), schema)
+
 
+def workbook_rows(sheet: str, columns: list[str], file_column: str | None, batch_rows: int):
+    """Batches (path, content) -> batches of ``batch_rows`` rows at most of the named sheet."""
     def parse(batches):
-        import pandas as pd
-        for pdf in batches:
-            out = []
-            for p, content in zip(pdf["path"], pdf["content"]):
-                for rec in xlsx.sheet_records(bytes(content), sheet):
-                    row = [rec.get(c) for c in columns]
-                    if file_column:
-                        row.append(p.rsplit("/", 1)[-1])
-                    out.append(row)
-            yield pd.DataFrame(out, columns=schema.fieldNames())
-
-    return files.mapInPandas(parse, schema)
+        import pyarrow as pa
+        names = columns + ([file_column] if file_column else [])
+        schema = pa.schema([(n, pa.string()) for n in names])
+
+        def packed(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], schema=schema)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                name = batch.column("path")[i].as_py().rsplit("/", 1)[-1]
+                rows = []
+                for rec in xlsx.sheet_records(batch.column("content")[i].as_buffer(), sheet):
+                    rows.append([rec.get(c) for c in columns] + ([name] if file_column else []))
+                    if len(rows) == batch_rows:
+                        yield packed(rows)
+                        rows = []
+                if rows:
+                    yield packed(rows)
+    return parse
+
+
+def _value(name: str) -> tuple[int, int, str]:
+    """Order of folder names: whole numbers by value, before them all others, as text."""
+    value = name.split("=", 1)[-1]
+    return (1, int(value), "") if value.isdigit() else (0, 0, value)
+
+
+def newest_partitions(spark: SparkSession, path: str, levels=("y", "m", "d", "hm"), by=()) -> list[dict[str, str]]:
+    """The newest ``level=value`` folder under ``path``, for each group of the levels ``by`` (the
+    outer folders): a list of {level: value}.
+
+    Folder names are all that is read, and only those on the way: the children of ``path``, of
+    each group, and of the newest folder at each level below. Values compare as whole numbers where
+    they are such; empty folders and those of other names are passed over.
+    """
+    fs, root = versions.hadoop(spark, path)
+
+    def children(folder, level):
+        return [(s.getPath(), s.getPath().getName()) for s in fs.listStatus(folder)
+                if s.isDirectory() and s.getPath().getName().startswith(f"{level}=")]
+
+    def newest(folder, left):
+        if not left:
+            return {} if any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(folder)) else None
+        for p, name in sorted(children(folder, left[0]), key=lambda x: _value(x[1]), reverse=True):
+            below = newest(p, left[1:])
+            if below is not None:
+                return {left[0]: name.split("=", 1)[1], **below}
+        return None
+
+    groups = [(root, {})]
+    for level in by:
+        groups = [(p, {**of, level: name.split("=", 1)[1]}) for folder, of in groups for p, name in sorted(children(folder, level), key=lambda x: x[1])]
+    found = [(of, newest(folder, list(levels))) for folder, of in groups]
+    return [{**of, **last} for of, last in found if last is not None]
+
+
+def read_newest(spark: SparkSession, path: str, levels=("y", "m", "d", "hm"), by=(), fmt: str = "parquet", schema: StructType | str | None = None) -> DataFrame:
+    """The rows of the newest snapshot of a partitioned table, per group ``by``: one scan, whose
+    partition filter is the folders that :func:`newest_partitions` names."""
+    r = spark.read.format(fmt)
+    df = (r.schema(schema) if schema is not None else r).load(path)
+    wanted = F.lit(False)
+    for folder in newest_partitions(spark, path, levels, by):
+        this = F.lit(True)
+        for level, value in folder.items():
+            null = value == "__HIVE_DEFAULT_PARTITION__"
+            this = this & (F.col(level).isNull() if null else F.col(level) == F.lit(unquote(value)).cast(df.schema[level].dataType))
+        wanted = wanted | this
+    return df.where(wanted)
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import versions
+
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", fmt: str = "parquet",
                 partition_by=None, table: str | None = None) -> None:
@@ -42,8 +44,8 @@ def read_evolving(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def register_table(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> None:
-    """Create the database if needed, register an external table over ``path``,
-    and refresh its cached metadata."""
+    """Create the database if needed, register an external table over ``path``, and refresh its
+    cached metadata. A table that is registered at another location is switched to this one."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     name = f"`{database}`.`{table}`"
     _recreate_if_changed(spark, name, spark.read.option("mergeSchema", True).format(fmt).load(path), path)
@@ -53,16 +55,28 @@ def register_table(spark: SparkSession, database: str, table: str, path: str, fm
     spark.sql(f"REFRESH TABLE {name}")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as the catalogue stores it: with scheme and authority, no slash at the end."""
+    fs, p = versions.hadoop(spark, path)
+    return fs.makeQualified(p).toUri().toString().rstrip("/").replace(":///", ":/")
+
+
 def _recreate_if_changed(spark: SparkSession, name: str, stored: DataFrame, path: str) -> None:
-    """Drop the entry of an external table whose columns or place are no longer those of the data
-    (columns added by a write); the data stays, and the caller creates the entry again."""
+    """Bring the entry of an external table up to the data at ``path``. Another location is
+    switched to in one step; where the columns are others too, or the table has partitions (whose
+    entries name places of their own), the entry is dropped, for the caller to create again. The
+    data of either location stay."""
     if not spark.catalog.tableExists(name):
         return
-    kind = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    told = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    kind = dict(told)
     if kind.get("Type") != "EXTERNAL":
         raise ValueError(f"{name} is not an external table; it is left alone")
-    if dict(spark.table(name).dtypes) != dict(stored.dtypes):
+    moved = _qualified(spark, kind["Location"]) != _qualified(spark, path)
+    if dict(spark.table(name).dtypes) != dict(stored.dtypes) or (moved and ("# Partition Information", "") in told):
         spark.sql(f"DROP TABLE {name}")
+    elif moved:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
 
 
 def create_table(spark: SparkSession, name: str, ddl_columns: str, path: str, fmt: str = "parquet") -> None:
@@ -78,14 +92,19 @@ def insert_into(df: DataFrame, table: str, overwrite: bool = False) -> None:
 def replace_table(df: DataFrame, base_path: str, table: str | None = None, *, fmt: str = "parquet") -> str:
     """Write ``df`` to a fresh version folder under ``base_path`` and return it.
 
-    With ``table`` the catalogue entry is switched to the new folder (and
-    created when missing). Because the old folder is untouched, ``df`` may
-    read the table it replaces (upsert), and a failed write leaves the table
-    as it was. The written folder also cuts the plan's lineage.
+    The folder becomes the current version (:func:`versions.read_current`), and
+    with ``table`` the catalogue entry is switched to it (and created when
+    missing). Because the old folder is untouched, ``df`` may read the table it
+    replaces (upsert), and a failed write leaves the table as it was. The
+    written folder also cuts the plan's lineage. :func:`versions.clean` deletes
+    versions that are no longer wanted.
     """
     spark = df.sparkSession
-    version = f"{base_path.rstrip('/')}/v={uuid.uuid4().hex}"
+    found = versions.current(spark, base_path)
+    folder = f"v={uuid.uuid4().hex}"
+    version = f"{base_path.rstrip('/')}/{folder}"
     df.write.mode("errorifexists").format(fmt).save(version)
+    versions.commit(spark, base_path, {"folder": folder}, found[0] if found else 0)
     if table:
         if "." in table:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{table.split('.')[0]}`")
@@ -103,30 +122,42 @@ def export_single_csv(df: DataFrame, file_path: str, *, header: bool = True) ->
 
     For small results only (a report): all rows pass through one task. The part
     file is written to a staging folder next to the target and moved with the
-    Hadoop file system API, which works on any cluster file system.
+    Hadoop file system API, which works on any cluster file system. A file that
+    is there is moved aside first and deleted last; if the new one can't be
+    moved in, the old one is moved back.
     """
     spark = df.sparkSession
     staging = file_path.rstrip("/") + "_staging_" + uuid.uuid4().hex
     df.coalesce(1).write.mode("errorifexists").option("header", header).csv(staging)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(staging).getFileSystem(conf)
-    parts = [s.getPath() for s in fs.listStatus(Path(staging)) if s.getPath().getName().endswith(".csv")]
-    target = Path(file_path)
-    if fs.exists(target):
-        fs.delete(target, False)
-    if parts:
-        fs.rename(parts[0], target)
-    else:  # no rows: write the header only
-        out = fs.create(target)
-        if header:
-            out.write(bytearray(",".join(df.columns) + "\n", "utf-8"))
-        out.close()
-    fs.delete(Path(staging), True)
+    fs, folder = versions.hadoop(spark, staging)
+    parts = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".csv")]
+    if not parts:  # no rows: the header only
+        versions.write_text(spark, f"{staging}/part.csv", ",".join(df.columns) + "\n" if header else "")
+        parts = [versions.hadoop(spark, f"{staging}/part.csv")[1]]
+    try:
+        _move_in(fs, parts[0], versions.hadoop(spark, file_path)[1], versions.hadoop(spark, f"{staging}/old.csv")[1])
+    finally:
+        fs.delete(folder, True)
     return file_path
 
 
+def _move_in(fs, new, target, aside) -> None:
+    """Put the file ``new`` in the place of ``target``, which is kept at ``aside`` until then."""
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"{target} can't be moved aside")
+    try:
+        done = fs.rename(new, target)
+    except Exception:
+        done = False
+        raise
+    finally:
+        if had and not done:
+            fs.rename(aside, target)
+    if not done:
+        raise OSError(f"{new} can't be moved to {target}")
+
+
 def with_key_bucket(df: DataFrame, keys, buckets: int, column: str = "key_bucket") -> DataFrame:
     """Add the storage bucket of each row's key: ``pmod(xxhash64(keys), buckets)``. A row with a
     NULL key, which matches no other, goes by a hash of the whole row, so that such rows share no bucket."""
@@ -141,16 +172,11 @@ def with_key_bucket(df: DataFrame, keys, buckets: int, column: str = "key_bucket
 LAYOUT_FILE = "_key_layout.json"  # the leading underscore hides it from readers of the folder
 
 
-def _hadoop(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def _check_layout(spark: SparkSession, path: str, layout: dict) -> bool:
     """True if a table of this layout is at ``path``; False (and the layout is written) if there is
     none. Another layout, or data without one, raises: rows would be looked for in wrong buckets."""
-    fs, file = _hadoop(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
-    _, root = _hadoop(spark, path)
+    fs, file = versions.hadoop(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
+    _, root = versions.hadoop(spark, path)
     loaded = fs.exists(root) and any(s.isDirectory() and "=" in s.getPath().getName() for s in fs.listStatus(root))
     if not fs.exists(file):
         if loaded:

@@ -21,6 +21,7 @@ NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 # built-in number formats that display dates or times
 DATE_FORMAT_IDS = set(range(14, 23)) | {45, 46, 47}
 EXCEL_EPOCH = dt.datetime(1899, 12, 30)
+EPOCH_1904 = dt.datetime(1904, 1, 1)
 
 _COL = re.compile(r"([A-Z]+)")
 
@@ -72,63 +73,82 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return out
 
 
-def _serial_to_text(v: str) -> str:
+def _uses_1904(z: zipfile.ZipFile) -> bool:
+    pr = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", NS)
+    return pr is not None and pr.get("date1904", "0").lower() in ("1", "true")
+
+
+def _serial_to_text(v: str, from_1904: bool = False) -> str:
+    """A date's serial number as text. In the 1900 system there is a 29 February 1900, so the days
+    before it are one later than the others' epoch says."""
     days = float(v)
-    stamp = EXCEL_EPOCH + dt.timedelta(days=days)
+    if from_1904:
+        stamp = EPOCH_1904 + dt.timedelta(days=days)
+    else:
+        stamp = EXCEL_EPOCH + dt.timedelta(days=days + (1 if days < 60 else 0))
     if days == int(days):
         return stamp.date().isoformat()
-    return stamp.isoformat(sep=" ")
-
-
-def sheet_rows(content: bytes, sheet: str) -> list[list[str | None]]:
-    """All rows of ``sheet`` as lists of text (missing cells are None)."""
+    return stamp.replace(microsecond=0).isoformat(sep=" ") if stamp.microsecond < 500_000 else (stamp.replace(microsecond=0) + dt.timedelta(seconds=1)).isoformat(sep=" ")
+
+
+def _elements(z: zipfile.ZipFile, part: str, tag: str):
+    """The elements of one kind in a part, each dropped again once it has been used."""
+    with z.open(part) as stream:
+        parents = []
+        for event, el in ET.iterparse(stream, events=("start", "end")):
+            if event == "start":
+                parents.append(el)
+                continue
+            parents.pop()
+            if el.tag == tag:
+                yield el
+                if parents:
+                    parents[-1].remove(el)
+
+
+def _cell(c, shared: list[str], date_styles: set[int], from_1904: bool) -> str | None:
+    kind, style = c.get("t"), int(c.get("s", "0"))
+    v = c.find("m:v", NS)
+    if kind == "s":
+        return shared[int(v.text)] if v is not None else None
+    if kind == "inlineStr":
+        is_ = c.find("m:is", NS)
+        return _text(is_) if is_ is not None else None
+    if kind == "b":
+        return None if v is None else ("TRUE" if v.text == "1" else "FALSE")
+    val = v.text if v is not None else None
+    if val is not None and kind not in ("str", "e") and style in date_styles:
+        val = _serial_to_text(val, from_1904)
+    return val
+
+
+def sheet_rows(content, sheet: str):
+    """The rows of ``sheet``, one after another, as lists of text (missing cells are None); empty
+    ones are left out. ``content`` is bytes or any buffer; of the sheet one row is held at a time."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         part = _sheet_part(z, sheet)
         if part is None:
-            return []
-        shared = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
-            shared = [_text(si) for si in sst.findall("m:si", NS)]
-        date_styles = _date_styles(z)
-        root = ET.fromstring(z.read(part))
-    rows = []
-    for r in root.iter(f"{{{NS['m']}}}row"):
-        cells: dict[int, str | None] = {}
-        for c in r.findall("m:c", NS):
-            ref, kind, style = c.get("r"), c.get("t"), int(c.get("s", "0"))
-            v = c.find("m:v", NS)
-            if kind == "s":
-                val = shared[int(v.text)] if v is not None else None
-            elif kind == "inlineStr":
-                is_ = c.find("m:is", NS)
-                val = _text(is_) if is_ is not None else None
-            elif kind == "b":
-                val = None if v is None else ("TRUE" if v.text == "1" else "FALSE")
-            else:
-                val = v.text if v is not None else None
-                if val is not None and kind not in ("str", "e") and style in date_styles:
-                    val = _serial_to_text(val)
-            idx = _col_index(ref) if ref else len(cells)
-            cells[idx] = val
-        if cells:
-            width = max(cells) + 1
-            rows.append([cells.get(i) for i in range(width)])
-    return rows
-
-
-def sheet_records(content: bytes, sheet: str) -> list[dict[str, str | None]]:
-    """Rows after the header as ``{header: text}`` dicts (empty rows skipped)."""
-    rows = sheet_rows(content, sheet)
-    if not rows:
-        return []
-    header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(rows[0])]
-    out = []
-    for row in rows[1:]:
-        if all(v is None for v in row):
-            continue
-        out.append({h: (row[i] if i < len(row) else None) for i, h in enumerate(header)})
-    return out
+            return
+        m = "{" + NS["m"] + "}"
+        shared = [_text(si) for si in _elements(z, "xl/sharedStrings.xml", m + "si")] if "xl/sharedStrings.xml" in z.namelist() else []
+        date_styles, from_1904 = _date_styles(z), _uses_1904(z)
+        for r in _elements(z, part, m + "row"):
+            cells: dict[int, str | None] = {}
+            for c in r.findall("m:c", NS):
+                ref = c.get("r")
+                cells[_col_index(ref) if ref else max(cells, default=-1) + 1] = _cell(c, shared, date_styles, from_1904)
+            if cells:
+                yield [cells.get(i) for i in range(max(cells) + 1)]
+
+
+def sheet_records(content, sheet: str):
+    """Rows after the header as ``{header: text}`` dicts, one after another (empty rows skipped)."""
+    header = None
+    for row in sheet_rows(content, sheet):
+        if header is None:
+            header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(row)]
+        elif any(v is not None for v in row):
+            yield {h: (row[i] if i < len(row) else None) for i, h in enumerate(header)}
 
 
 def write_workbook(path: str, sheets: dict[str, list[list]]) -> None:

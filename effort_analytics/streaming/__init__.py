@@ -6,6 +6,6 @@ is offered here as a ``foreachBatch`` adaptor so the same batch functions can
 be driven by a file-stream trigger; no stateful streaming operator is added.
 """
 
-from .incremental import upsert_each_batch
+from .incremental import upsert_each_batch, upsert_keyed_each_batch
 
-__all__ = ["upsert_each_batch"]
+__all__ = ["upsert_each_batch", "upsert_keyed_each_batch"]
