@@ -5,8 +5,9 @@
   takes that of a bin it probes in a fixed pseudo-random order (optimal densification).
 * A node is a distinct set, named by a 64-bit hash: rows with equal sets are one node, rows that
   share an id (or have none) are not. Each node goes to ``bands`` buckets.
-* A bucket proposes the edges of a star: its smallest node against all others. Links are confirmed
-  on the full sets.
+* A bucket proposes the edges of a star: its smallest node against all others. The stars come from
+  one pass over (bucket, node) in sorted order; a bucket that several tasks share is a star of each
+  task's part and one of their centres. Links are confirmed on the full sets.
 * A star can't see links between two nodes of which neither is like its centre. Buckets whose
   nodes aren't in one component after the stars are therefore solved exactly: their nodes are
   gathered in clusters (nodes that such buckets join; beyond ``cluster`` nodes, single buckets) and
@@ -134,13 +135,58 @@ def _confirm(k: int, percent: int):
     return run
 
 
+_STAR = pa.schema([("key", pa.int64()), ("d", pa.int64()), ("u", pa.int64()), ("n", pa.int64()), ("m", pa.int64())])
+
+
+def _stars(batches):
+    """(key, d, u, n, m) of rows (key, d, n) sorted by key and d: each node but the first of its run, with
+    the run's first node u and that one's size m. The first and the last run of a task may be parts of
+    one that other tasks share: their centres are given too, with u NULL."""
+    at, u, m, runs = None, 0, 0, 0
+    for batch in batches:
+        key, d, n = (batch.column(c).to_numpy() for c in ("key", "d", "n"))
+        if not len(key):
+            continue
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        opening = at is None
+        new[0] = opening or key[0] != at
+        run = np.cumsum(new) - 1  # -1: the run of the batch before
+        starts = np.flatnonzero(new)
+        centre, size = np.concatenate([[u], d[starts]]), np.concatenate([[m], n[starts]])
+        out = np.flatnonzero(~new)
+        rows = [key[out], d[out], centre[run[out] + 1], n[out], size[run[out] + 1]]
+        mask = np.zeros(len(out), bool)
+        if opening:
+            rows = [np.concatenate([[a], b]) for a, b in zip((key[0], d[0], 0, n[0], 0), rows, strict=True)]
+            mask = np.concatenate([[True], mask])
+        at, u, m, runs = key[-1], centre[-1], size[-1], runs + len(starts)
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64), mask=mask if f.name in ("u", "m") else None) for c, f in zip(rows, _STAR, strict=True)], schema=_STAR)
+    if runs > 1:
+        yield pa.RecordBatch.from_pydict({"key": [at], "d": [u], "u": [None], "n": [m], "m": [None]}, schema=_STAR)
+
+
+def stars(left: DataFrame) -> DataFrame:
+    """(key, d, u, n, m) of the nodes (key, d, n) of buckets with two nodes at least. ``u`` is the centre that
+    ``d`` is compared with, ``m`` its size. A bucket's own centre is left out, as all others are
+    compared with it; in one that several tasks share it is listed with u = d."""
+    rows = left.repartitionByRange("key", "d").sortWithinPartitions("key", "d")
+    rows = staged(rows.mapInArrow(_stars, "key long, d long, u long, n long, m long"), "stars")
+    first = rows.where("u IS NULL").select("key", "d", "n")  # two rows a task at most
+    own = first.groupBy("key").agg(F.min(F.struct("d", "n")).alias("c"), F.count(F.lit(1)).alias("tasks"))
+    joint = first.join(F.broadcast(own.where("tasks > 1").select("key", "c")), "key").select("key", "d", F.col("c.d").alias("u"), "n", F.col("c.n").alias("m"))
+    return rows.where("u IS NOT NULL").unionByName(joint)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, per_centre: int = 500) -> DataFrame:
     """The pairs (u, v) whose texts (d, text) are alike. The members of a centre are dealt to as
     many tasks as they need, each with a copy of the centre's text."""
-    sized = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / per_centre).alias("salts"))
+    # A key more than the aggregate's own, so that its rows are dealt out for the joins and Spark can split a hot centre.
+    zero = F.pmod(F.xxhash64("u"), F.lit(1)).alias("z")
+    sized = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / per_centre).alias("salts")).select("u", zero, "salts")
     centres = (texts.join(sized, texts.d == sized.u).select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
                                                             F.lit(True).alias("centre"), F.lit(0).cast("long").alias("v"), "text"))
-    members = (pairs.join(sized, "u").select("u", F.pmod(F.xxhash64("v"), F.col("salts")).alias("salt"), "v")
+    members = (pairs.select("u", "v", zero).join(sized, ["u", "z"]).select("u", F.pmod(F.xxhash64("v"), F.col("salts")).alias("salt"), "v")
                .join(texts, F.col("v") == F.col("d")).select("u", "salt", F.lit(False).alias("centre"), "v", "text"))
     rows = centres.unionByName(members).repartition("u", "salt").sortWithinPartitions("u", "salt", F.desc("centre"), "v")
     return rows.mapInArrow(_confirm(k, percent), "u long, v long")
@@ -248,21 +294,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     """
     docs = keyed(docs, id_col, text_col)
     signed = staged(docs.mapInArrow(_sign(k, bands, rows), "d long, h long, doc_id long, n long, x long, y long, keys array<long>"), "signed")
-    sets = staged(signed.where("n > 0").groupBy("x", "y", "n").agg(F.min(F.struct("d", "h")).alias("rep"))
-                  .select("x", "y", "n", "rep.d", "rep.h", F.xxhash64("x", "y", "n").alias("node")), "sets")
-    nodes = signed.join(sets, ["x", "y", "n", "d", "h"]).select(F.col("node").alias("d"), "n", "keys")
-    left = nodes.select("d", "n", F.explode("keys").alias("key")).distinct()
-    centre = left.groupBy("key").agg(F.min("d").alias("u"), F.max("d").alias("w")).where("u <> w").select("key", "u")
-    left = staged(left.join(centre, "key"), "buckets")
+    # One row a node: its first row, its keys (equal sets have equal ones).
+    nodes = staged(signed.where("n > 0").groupBy("x", "y", "n").agg(F.min(F.struct("d", "h", "keys")).alias("rep"))
+                   .select("x", "y", "n", "rep.d", "rep.h", "rep.keys", F.xxhash64("x", "y", "n").alias("node")), "sets")
+    sets = nodes.drop("keys")
+    left = staged(stars(nodes.select(F.explode("keys").alias("key"), F.col("node").alias("d"), "n")), "buckets")
     # One text a node, however many rows repeat it.
-    reps = staged(sets.join(left.select(F.col("d").alias("node")).distinct(), "node", "left_semi").select("d", "h", "node"), "reps")
-    texts = staged(docs.join(reps, ["d", "h"]).groupBy(F.col("node").alias("d")).agg(F.min("text").alias("text")), "texts")
+    some = left.select(F.col("d").alias("node")).unionByName(left.select(F.col("u").alias("node"))).distinct()
+    reps = staged(sets.join(some, "node", "left_semi").select("d", "h", "node"), "reps")
+    texts = staged(docs.select("d", "h", "text").join(reps, ["d", "h"]).groupBy("d", "h", "node").agg(F.min("text").alias("text"))
+                   .select(F.col("node").alias("d"), "text"), "texts")
     like = F.lit(percent) * F.greatest("n", "m") <= 100 * F.least("n", "m")
-    sizes = left.where("d = u").select("key", "u", F.col("n").alias("m")).distinct()
-    pairs = left.where("d <> u").join(sizes, ["key", "u"]).where(like).select("u", F.col("d").alias("v")).distinct()
+    pairs = left.where("d <> u").where(like).select("u", F.col("d").alias("v")).distinct()
     links = staged(confirmed(staged(pairs, "pairs"), texts, k, percent), "links")
     label = components(links)
-    left = left.where("d <> u").select("key", "d").join(label, "d", "left").select("key", "d", F.coalesce("c", "d").alias("c"))
+    left = left.select("key", "d").join(label, "d", "left").select("key", "d", F.coalesce("c", "d").alias("c"))
     mixed = staged(left.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("d").alias("u")).where("x <> y").select("key", "u"), "mixed")
     left = staged(left.join(mixed, "key").select("key", "d", "u"), "open")
     if not left.isEmpty():
