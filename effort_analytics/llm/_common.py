@@ -21,11 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or where that is unset (tests) a fresh local one."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, a session whose only executor is
+    this process (``local[..]``, as in tests) gets a fresh one; on a cluster it raises."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = found.get() if found.isDefined() else None
+    if not path and spark.sparkContext.master.partition("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir is not set; configure a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="llm-stage-")
         spark.sparkContext.setCheckpointDir(path)  # the setting itself can't be changed in a running session
@@ -40,6 +43,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, or the next like it that is no column of ``df``."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
 def doc_key(doc_id: Column, text: Column) -> list[Column]:
     """Internal identity of a document row: the id (NULL: ``NO_ID``) and the text's 64-bit hash, so
     that rows that share an id but not the text are kept apart; rows that repeat id and text share it. It

@@ -184,10 +184,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, per_cent
     # A key more than the aggregate's own, so that its rows are dealt out for the joins and Spark can split a hot centre.
     zero = F.pmod(F.xxhash64("u"), F.lit(1)).alias("z")
     sized = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / per_centre).alias("salts")).select("u", zero, "salts")
-    centres = (texts.join(sized, texts.d == sized.u).select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
+    centres = (texts.join(sized.hint("merge"), texts.d == sized.u).select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
                                                             F.lit(True).alias("centre"), F.lit(0).cast("long").alias("v"), "text"))
     members = (pairs.select("u", "v", zero).join(sized, ["u", "z"]).select("u", F.pmod(F.xxhash64("v"), F.col("salts")).alias("salt"), "v")
-               .join(texts, F.col("v") == F.col("d")).select("u", "salt", F.lit(False).alias("centre"), "v", "text"))
+               .join(texts.hint("merge"), F.col("v") == F.col("d")).select("u", "salt", F.lit(False).alias("centre"), "v", "text"))
     rows = centres.unionByName(members).repartition("u", "salt").sortWithinPartitions("u", "salt", F.desc("centre"), "v")
     return rows.mapInArrow(_confirm(k, percent), "u long, v long")
 
@@ -299,10 +299,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
                    .select("x", "y", "n", "rep.d", "rep.h", "rep.keys", F.xxhash64("x", "y", "n").alias("node")), "sets")
     sets = nodes.drop("keys")
     left = staged(stars(nodes.select(F.explode("keys").alias("key"), F.col("node").alias("d"), "n")), "buckets")
-    # One text a node, however many rows repeat it.
+    # One text a node, however many rows repeat it. Texts are always joined by a shuffle: what they
+    # are joined to grows with them, so small inputs shall not go another way than large ones.
     some = left.select(F.col("d").alias("node")).unionByName(left.select(F.col("u").alias("node"))).distinct()
     reps = staged(sets.join(some, "node", "left_semi").select("d", "h", "node"), "reps")
-    texts = staged(docs.select("d", "h", "text").join(reps, ["d", "h"]).groupBy("d", "h", "node").agg(F.min("text").alias("text"))
+    texts = staged(docs.select("d", "h", "text").join(reps.hint("merge"), ["d", "h"]).groupBy("d", "h", "node").agg(F.min("text").alias("text"))
                    .select(F.col("node").alias("d"), "text"), "texts")
     like = F.lit(percent) * F.greatest("n", "m") <= 100 * F.least("n", "m")
     pairs = left.where("d <> u").where(like).select("u", F.col("d").alias("v")).distinct()

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import staged, table
+from ._common import fresh, staged, table
 
 #: Topics by the first pattern that a text matches; the rest is "prose".
 TOPICS = [("legal", r"(?i)licen[cs]e|copyright|all rights reserved"), ("technical", r"[{}<>;=\\|]|\$\$|&&"), ("contact", r"@|\+\d|\d{4}")]
@@ -83,8 +83,10 @@ def calibrated(docs: DataFrame, *, keep: float = 0.9, power: float = 0.9, target
     sources, languages and topics gain. NULL sources and languages are one value. NULL and empty
     texts have no tokens and take the probability of their cell; in a cell without tokens it is
     ``keep``. Repeated rows are kept or not together, and count in the margins each. A table
-    without rows gives none.
+    without rows gives none. Columns of the eight new names are replaced; others stay, whatever
+    their names.
     """
+    p = fresh("_p", docs)
     rows = described(docs, text_col, seed)
     cells = staged(rows.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")), "sums")
     goals = {f"_{d}": None for d in DIMENSIONS}
@@ -92,9 +94,9 @@ def calibrated(docs: DataFrame, *, keep: float = 0.9, power: float = 0.9, target
         given = (targets or {}).get(name[1:])
         goals[name] = tempered(cells, name, power) if given is None else given.withColumnRenamed(name[1:], name)
     ratio = F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(1.0)
-    fitted = staged(rake(cells, goals).select("_source", "_lang", "_topic", (keep * ratio).alias("_p")), "fitted")
-    return (rows.join(fitted, ["_source", "_lang", "_topic"]).withColumn("_probability", F.least(F.col("_p"), F.lit(1.0)))
-            .withColumn("_weight", F.greatest(F.col("_p"), F.lit(1.0))).withColumn("_kept", F.col("_u") < F.col("_probability")).drop("_p"))
+    fitted = staged(rake(cells, goals).select("_source", "_lang", "_topic", (keep * ratio).alias(p)), "fitted")
+    return (rows.join(fitted, ["_source", "_lang", "_topic"]).withColumn("_probability", F.least(F.col(p), F.lit(1.0)))
+            .withColumn("_weight", F.greatest(F.col(p), F.lit(1.0))).withColumn("_kept", F.col("_u") < F.col("_probability")).drop(p))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

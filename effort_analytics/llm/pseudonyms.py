@@ -21,12 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import fresh, table
 
 ROUNDS = 10
 #: The query's key. A deployment passes its own, from its secret store.
 KEY = "not-a-secret"
-_EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# Loops over groups are possessive: Java's matcher runs these in place, others by recursion.
+_EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _KEY_ID = r"AKIA[0-9A-Z]{16}"
 _SECRET = r"(?:password|passwd|secret|token|api_key)\s?=\s?\"?[0-9a-f]{12,64}"
 _DATE = r"\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}"
@@ -37,14 +38,23 @@ _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
 _STOP = rf"(?![ -](?:{_DATE}|{_SEPARATED}|{_SSN}|{_IP})(?![A-Za-z0-9]|[.-]\d))"
 #: North American numbers with separators or without any, and those with a + (8 to 15 digits).
 _PHONE = rf"{_SEPARATED}|[2-9]\d{{9}}|\+[1-9](?:(?:{_STOP}[ .-])?(?:\(\d{{1,4}}\)|\d)){{6,14}}"
-_CARD = rf"\d(?:(?:{_STOP}[ -])?\d){{12,}}"
+#: A run of digit groups with 13 digits at least, of which none is followed by a letter or a decimal part.
+_GROUP = r"\d++(?![A-Za-z]|\.\d)"
+_CARD = rf"(?=\d(?:[ -]?\d){{12}}){_GROUP}(?:{_STOP}[ -]{_GROUP})*+"
 #: kind and pattern, in the order in which they are tried
 KINDS = [("email", _EMAIL), ("key", _KEY_ID), ("secret", _SECRET), ("date", _DATE), ("phone", _PHONE), ("ssn", _SSN), ("ip", _IP), ("card", _CARD)]
 PATTERN = r"(?<![A-Za-z0-9._%+-])(?:" + "|".join(p for _, p in KINDS) + r")(?![A-Za-z0-9]|[.-]\d)"
+#: Digit groups that are worked on at a time.
+BLOCK = 256
 #: Days from here make a domain of 400 years = 189 * 773 days.
 FIRST_DAY = "1800-01-01"
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used (also in inner loops)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _f(key: str, kind: str, i: Column, x: Column) -> Column:
     """Keyed round function: 48 bits."""
     return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), x.cast("string")), 256), 1, 12), 16, 10).cast("long")
@@ -117,44 +127,63 @@ def _long(s: Column, at: int, n: int) -> Column:
 
 def _card(m: Column, key: str) -> Column:
     """The first digit stays, the check digit follows from the others."""
-    d = _digits(m)
-    n = F.length(d) - 2
-    high = F.pow(F.lit(10.0), F.ceil(n / 2)).cast("long")
-    low = F.pow(F.lit(10.0), F.floor(n / 2)).cast("long")
-    body = F.lpad(feistel(F.substring(d, F.lit(2), n).cast("long"), high, low, key, "card").cast("string"), n, F.lit("0"))
-    head = F.concat(F.substring(d, 1, 1), body)
-    new = F.concat(head, F.pmod(10 - _luhn(F.concat(head, F.lit("0"))) % 10, F.lit(10)).cast("string"))
-    return F.when(_luhn(d) % 10 == 0, _filled(m, new))
+    def moved(d):
+        n = F.length(d) - 2
+        high = F.pow(F.lit(10.0), F.ceil(n / 2)).cast("long")
+        low = F.pow(F.lit(10.0), F.floor(n / 2)).cast("long")
+        return F.concat(F.substring(d, 1, 1), F.lpad(feistel(F.substring(d, F.lit(2), n).cast("long"), high, low, key, "card").cast("string"), n, F.lit("0")))
+
+    def whole(m, d):
+        new = let(moved(d), lambda head: F.concat(head, F.pmod(10 - _luhn(F.concat(head, F.lit("0"))) % 10, F.lit(10)).cast("string")))
+        return F.when(F.call_function("luhn_check", d), let(new, lambda x: _filled(m, x)))
+    return let(m, lambda m: let(_digits(m), lambda d: whole(m, d)))
 
 
 def _cards(m: Column, key: str) -> Column:
     """struct(out, n) of a run of digit groups: the run with each card replaced (NULL without one),
-    and their number. Sub-runs of one group, or of up to five groups of which all but the last have
-    4 to 12 digits, are tried from the left and the longest first; without a card among them, the
-    whole run, grouped in any way."""
-    groups = F.regexp_extract_all(m, F.lit("[0-9]+[ -]?"), F.lit(0))
-
-    def part(i, k):
-        return F.regexp_replace(F.array_join(F.slice(groups, i + 1, k), ""), "[ -]$", "")
-
-    def span(i):
-        used = F.lit(0)
-        for k in range(1, 6):  # the longest comes first
-            run = part(i, F.lit(k))
-            valid = (i + k <= F.size(groups)) & run.rlike(f"^(?:[0-9]{{4,12}}[ -]){{{k - 1}}}[0-9]+$") & F.length(_digits(run)).between(13, 19)
-            used = F.when(F.when(valid, _luhn(_digits(run)) % 10 == 0), F.lit(k)).otherwise(used)
-        return F.struct(i.alias("i"), used.alias("used"))
-
-    def add(x, s):
-        i, k = s["i"], s["used"]
-        new = F.concat(_card(part(i, k), key), F.regexp_extract(F.get(groups, i + k - 1), "[ -]?$", 0))
-        return (F.when(i < x["next"], x).when(k > 0, F.struct(F.concat(x["out"], new).alias("out"), (x["n"] + 1).alias("n"), (i + k).alias("next")))
-                .otherwise(F.struct(F.concat(x["out"], F.get(groups, i)).alias("out"), x["n"].alias("n"), x["next"].alias("next"))))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"), F.lit(0).alias("next"))
+    and their number. Sub-runs of one group, or of several of which all but the last have 4 to 12
+    digits (so five at most make a card's 19), are tried from the left and the longest first;
+    without a card among them, the whole run, grouped in any way.
+
+    The groups are worked on in blocks of ``BLOCK``, so that a run of any length takes time in
+    proportion to its length, or nearly; a card may reach into the next block."""
+    def longest(own, j):  # groups of the longest card from the j-th of these groups on, or 0
+        def add(t, group):
+            bare = F.regexp_replace(group, "[ -]$", "")
+            digits = F.when(F.length(t["digits"]) > 19, t["digits"]).otherwise(F.concat(t["digits"], bare))
+            good = t["open"] & F.length(digits).between(13, 19) & F.call_function("luhn_check", digits)
+            return F.struct(digits.alias("digits"), (t["open"] & F.length(bare).between(4, 12)).alias("open"), (t["k"] + 1).alias("k"),
+                            F.when(good, t["k"] + 1).otherwise(t["used"]).alias("used"))
+        start = F.struct(F.lit("").alias("digits"), F.lit(True).alias("open"), F.lit(0).alias("k"), F.lit(0).alias("used"))
+        return F.aggregate(F.slice(own, j + 1, F.lit(5)), start, add, lambda t: t["used"])
+
+    def block(groups, x, b):
+        lo = b * BLOCK
+        count = F.least(F.size(groups) - lo, F.lit(BLOCK))
+
+        def walk(own):
+            def one(y, j):
+                def put(k):
+                    run = F.array_join(F.slice(own, j + 1, k), "")
+                    new = let(run, lambda r: F.concat(_card(F.regexp_replace(r, "[ -]$", ""), key), F.regexp_extract(r, "[ -]?$", 0)))
+                    return F.when(k > 0, F.struct(F.concat(y["out"], new).alias("out"), (y["n"] + 1).alias("n"), (lo + j + k).alias("next"))).otherwise(
+                        F.struct(F.concat(y["out"], F.get(own, j)).alias("out"), y["n"].alias("n"), y["next"].alias("next")))
+                return F.when(lo + j < y["next"], y).otherwise(let(longest(own, j), put))
+            start = F.struct(F.lit("").alias("out"), x["n"].alias("n"), x["next"].alias("next"))
+            return F.aggregate(F.sequence(F.lit(0), count - 1), start, one)
+        return let(F.slice(groups, lo + 1, F.lit(BLOCK + 5)), walk)
+
+    def solve(groups):
+        def add(x, b):
+            return let(block(groups, x, b), lambda z: F.struct(F.concat(x["out"], z["out"]).alias("out"), z["n"].alias("n"), z["next"].alias("next")))
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"), F.lit(0).alias("next"))
+        last = F.floor((F.size(groups) - 1) / F.lit(BLOCK)).cast("int")
+        return F.aggregate(F.sequence(F.lit(0), last), start, add)
+
     d = _digits(m)
-    whole = F.when(F.length(d) <= 19, _card(m, key))
-    return F.aggregate(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), span), start, add,
-                       lambda x: F.when(x["n"] > 0, F.struct(x["out"].alias("out"), x["n"].alias("n"))).otherwise(F.struct(whole.alias("out"), F.lit(1).alias("n"))))
+    whole = F.struct(F.when(F.length(d) <= 19, _card(m, key)).alias("out"), F.lit(1).alias("n"))
+    found = let(F.regexp_extract_all(m, F.lit("[0-9]+[ -]?"), F.lit(0)), solve)
+    return let(found, lambda x: F.when(x["n"] > 0, F.struct(x["out"].alias("out"), x["n"].alias("n"))).otherwise(whole))
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -270,17 +299,18 @@ def pseudonymise(docs: DataFrame, key: str = KEY, *, text_col: str = "text") ->
     values replaced, and ``pii_kinds``, their distinct kinds, sorted and joined by commas.
 
     A NULL text stays NULL, with 0 found; an empty one stays empty. Repeated rows get the same
-    result. Other columns stay; columns of the two new names are replaced. Matches that aren't valid
-    stay as they are.
+    result. Other columns stay, whatever their names; columns of the two new names are replaced.
+    Matches that aren't valid stay as they are.
     """
+    pii, gaps = fresh("_pii", docs), fresh("_gaps", docs)
     text = F.col(f"`{text_col}`")
     some = text.rlike("[0-9@]")
     found, between = replaced(text, key)
-    rest = [c for c in docs.columns if c not in ("pii_found", "pii_kinds", "_pii", "_gaps")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in rest), F.when(some, found).alias("_pii"), F.when(some, between).alias("_gaps"))
-    whole = F.array_join(F.transform("_gaps", lambda gap, i: F.concat(gap, F.coalesce(F.get("_pii", i)["new"]["out"], F.get("_pii", i)["m"], F.lit("")))), "")
-    new = F.when(F.size("_pii") > 0, whole).otherwise(text)
-    hits = F.filter("_pii", lambda x: x["new"]["out"].isNotNull())
+    rest = [c for c in docs.columns if c not in ("pii_found", "pii_kinds")]
+    rows = docs.select(*(F.col(f"`{c}`") for c in rest), F.when(some, found).alias(pii), F.when(some, between).alias(gaps))
+    whole = F.array_join(F.transform(gaps, lambda gap, i: F.concat(gap, F.coalesce(F.get(pii, i)["new"]["out"], F.get(pii, i)["m"], F.lit("")))), "")
+    new = F.when(F.size(pii) > 0, whole).otherwise(text)
+    hits = F.filter(pii, lambda x: x["new"]["out"].isNotNull())
     return rows.select(*(new.alias(c) if c == text_col else F.col(f"`{c}`") for c in rest), F.coalesce(F.aggregate(hits, F.lit(0), lambda t, x: t + x["new"]["n"]), F.lit(0)).alias("pii_found"),
                        F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda x: x["kind"]))), ","), F.lit("")).alias("pii_kinds"))
 

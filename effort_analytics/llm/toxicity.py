@@ -1,12 +1,13 @@
 """Toxicity (10): gradient-boosted trees over dense features, with isotonic calibration.
 
-1. A lexicon is learnt from labelled rows: words, and beginnings of words of 4, 5 and 6 bytes, that
+1. Two lexicons are learnt, each from one half of the rows to fit to: words, and beginnings of words of 4, 5 and 6 bytes, that
    stand in toxic texts far more often than in others, with their log odds.
 2. Features of a whole text: densities and strengths of lexicon words, their nearness to words of
    the second person, rates of capitals, of words in capitals, of punctuation, exclamation marks and
    obfuscated words (digits or signs amid letters), and its length.
-3. Boosted trees (Spark ML) are fitted to other labelled rows than the lexicon's, and the isotonic
-   map from their output to a probability to yet others.
+3. Boosted trees (Spark ML) are fitted to both halves, each with the features that the other half's
+   lexicon gives; the isotonic map from their output to a probability is fitted to yet other rows, and
+   the lexicon in use comes from both halves.
 
 Labels, language, source and id are no features. Everything that is fitted comes from at most
 ``sample`` labelled rows, picked by a hash of the id; every document is scored, in one pass.
@@ -35,6 +36,7 @@ ENTRIES, LEAST_ODDS, LEAST_COUNT = 5_000, 2.5, 3
 SEED = "idiot idiots stupid moron morons imbecile dumb loser losers trash garbage scum clown pathetic worthless disgusting jerk fool bastard".split()
 SEED_ODDS = 4.0
 BEGINNINGS = (4, 5, 6)
+STEP = 0.02
 SECOND_PERSON = ("you your yours yourself u ur thou du dich dir dein deine deinen ihr euch sie ihnen tu te toi ton ta tes vous votre vos "
                  "usted ustedes ti tus vosotros tuyo").split()
 NAMES = ["hits", "density", "strength", "strongest", "kinds", "near_you", "you_rate", "capitals", "all_caps", "punctuation", "exclamation", "obfuscated", "log_words"]
@@ -199,7 +201,12 @@ def _raw(rows: DataFrame, trees) -> DataFrame:
 
 
 def _calibrated(rows: DataFrame, calibration) -> DataFrame:
-    return calibration.transform(rows).withColumn("score", F.least(F.greatest("_score", F.lit(0.0)), F.lit(1.0)))
+    """``score``: the isotonic map's value (the trees' own without one). Within a step of the map,
+    which is flat, documents keep the trees' order: their output moves the score by half of ``STEP`` at most."""
+    if calibration is None:
+        return rows.withColumn("score", F.col("_raw"))
+    score = F.col("_score") + STEP * (F.col("_raw") - 0.5)
+    return calibration.transform(rows).withColumn("score", F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, *, sample: int = SAMPLE, rounds: int = 20, depth: int = 3,
@@ -218,12 +225,20 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, *, sample: int = SAMP
     picked = marked.where(part < min(1.0, sample / n)).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(10)))
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     rows = staged(texts.join(picked, "doc_id").select("toxic", "part", "text"), "labelled")
-    lexicon = learn_lexicon(rows.where("part < 4").select("toxic", "text"))
-    known = staged(with_features(rows.where("part >= 4"), lexicon), "features")
+    # Ids without a document, or few of them, may leave nothing to learn from.
+    kinds = rows.agg(*(F.countDistinct(F.when(F.expr(part), F.col("toxic"))) for part in ("part < 4", "part >= 4 AND part < 8", "part >= 8"))).first()
+    if kinds[0] < 2 or kinds[1] < 2:
+        return Model((np.zeros(0, np.uint64), np.zeros(0)), None, None, float(toxic / n))
+    half, other, rest = (rows.where(part) for part in ("part < 4", "part >= 4 AND part < 8", "part >= 8"))
+    # Each half's features come from the other half's lexicon, so the trees see as many hits as in new texts.
+    crossed = with_features(half, learn_lexicon(other.select("toxic", "text"))).unionByName(with_features(other, learn_lexicon(half.select("toxic", "text"))))
     trees = GBTClassifier(featuresCol="_v", labelCol="toxic", maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=11, maxMemoryInMB=64).fit(
-        _vector(known.where("part < 8")).select("_v", F.col("toxic").cast("double")))
-    raw = _raw(known.where("part >= 8"), trees).select("_raw", F.col("toxic").cast("double").alias("toxic"))
-    calibration = IsotonicRegression(featuresCol="_raw", labelCol="toxic", predictionCol="_score").fit(raw)
+        _vector(staged(crossed, "features")).select("_v", F.col("toxic").cast("double")))
+    lexicon = learn_lexicon(rows.where("part < 8").select("toxic", "text"))
+    calibration = None
+    if kinds[2] == 2:
+        raw = _raw(staged(with_features(rest, lexicon), "features"), trees).select("_raw", F.col("toxic").cast("double").alias("toxic"))
+        calibration = IsotonicRegression(featuresCol="_raw", labelCol="toxic", predictionCol="_score").fit(raw)
     return Model(lexicon, trees, calibration, float(toxic / n))
 
 

@@ -47,7 +47,7 @@ def test_toxicity(spark):
     sf = "/root/testdata/sf0.001"
     some = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select(*pipeline.COLUMNS).collect()]
     rows = some + some[:40] + [(None, *r[1:]) for r in some[:60]] + [(some[0][0], *some[5][1:]), (None, None, "en", "s", 0), (None, "", "en", "s", 0)]
-    docs = spark.createDataFrame(rows, SCHEMA).repartition(3).localCheckpoint()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3).checkpoint()
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"), F.lit(True))
     texts = spark.createDataFrame([(i, t) for i, t in enumerate(sorted({r[1] or "" for r in rows}))], "doc_id long, text string")
     score = {r.own: r.score for r in model.score(texts.withColumn("own", F.col("text"))).collect()}
