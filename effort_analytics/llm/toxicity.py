@@ -1,7 +1,7 @@
 """Toxicity (10): gradient-boosted trees over dense features, with isotonic calibration.
 
-1. Two lexicons are learnt, each from one half of the rows to fit to: words, and beginnings of words of 4, 5 and 6 bytes, that
-   stand in toxic texts far more often than in others, with their log odds.
+1. Two lexicons are learnt, each from one half of the rows to fit to: words, and beginnings of words
+   of 4, 5 and 6 bytes, that stand in toxic texts far more often than in others, with their log odds.
 2. Features of a whole text: densities and strengths of lexicon words, their nearness to words of
    the second person, rates of capitals, of words in capitals, of punctuation, exclamation marks and
    obfuscated words (digits or signs amid letters), and its length.
