@@ -11,6 +11,7 @@ their cosine estimates how much (an error of about 1/16).
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -116,24 +117,38 @@ def edited_fingerprints(docs: DataFrame, *, buckets: int | None = None, id_col:
     code points replaced by the first as many of the next document), the fingerprints of both, and
     how like its fingerprint is to the edited text's and to the next document's.
 
-    Documents go to ``buckets`` ranges of ids (default: the shuffle partitions) with one shuffle of
-    the texts; the first document of each range also goes to the range before, as its end. The
-    order is by id, then text hash; NULL ids come last; repeated rows follow one another. NULL and
-    empty texts have no paragraphs and the zero vector. A lone document is its own next. Other
-    columns are left out.
+    Documents go to ``buckets`` ranges of (id, text hash), a task each (default: the shuffle
+    partitions), with one shuffle of the texts; the first document of each range also goes to the
+    range before, as its end. An id that fills several ranges (NULL, or one that many rows share) is
+    split evenly by the texts' hashes; only rows that repeat both id and text stay together, and they
+    are streamed. The order is by id, then text hash; NULL ids come last; repeated rows follow one
+    another. NULL and empty texts have no paragraphs and the zero vector. A lone document is its own
+    next. Other columns are left out.
     """
+    spark = docs.sparkSession
     rows = keyed(docs, id_col, text_col)
-    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("d", F.array(*(F.lit(i / buckets) for i in range(1, buckets))) if buckets > 1 else F.array(F.lit(0.5)), 10_000)).first()[0]
-    cuts = sorted(set(cuts or []))
-    bucket = F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: c < F.col("d"))) if cuts else F.lit(0)
-    rows = rows.withColumn("b", bucket)
-    firsts = rows.groupBy("b").agg(F.min("d").alias("d")).orderBy("b").collect()  # a number of rows set by ``buckets``
-    ends = {firsts[i + 1 - len(firsts)].d: firsts[i].b for i in range(len(firsts))}
-    close = F.coalesce(*(F.when(F.col("d") == d, F.lit(b)) for d, b in ends.items())) if ends else F.lit(None).cast("int")
-    both = F.array(F.struct("b", F.lit(True).alias("own")), F.struct(close.alias("b"), F.lit(False).alias("own")))
+    buckets = max(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    cuts = []
+    if buckets > 1:
+        cuts = rows.agg(F.percentile_approx("d", F.array(*(F.lit(i / buckets) for i in range(1, buckets))), 10_000)).first()[0] or []
+    cuts = sorted(cuts)
+    times = {d: n for d, n in Counter(cuts).items() if n > 1}
+    below = F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: c < F.col("d"))) if cuts else F.lit(0)
+    split, part = F.lit(None).cast("long"), F.lit(0)
+    if times:
+        many = F.element_at(F.create_map(*(F.lit(x) for pair in times.items() for x in pair)), F.col("d"))
+        share = F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(-(2**63))), 33)  # 31 bits, in the hashes' order
+        split, part = F.when(many.isNotNull(), F.col("h")), F.coalesce(F.shiftright(share * many, 31).cast("int"), F.lit(0))
+    rows = rows.withColumn("b", below + part)
+    firsts = rows.groupBy("b").agg(F.min(F.struct("d", split.alias("h"))).alias("first")).orderBy("b").collect()  # ``buckets`` rows at most
+    if not firsts:
+        return spark.createDataFrame([], _OUT)
+    ends = [(firsts[i].first.d, firsts[i].first.h, firsts[i - 1].b) for i in range(len(firsts))]
+    ends = spark.createDataFrame(ends, "end_d long, end_h long, close int")
+    rows = rows.join(F.broadcast(ends), (F.col("d") == F.col("end_d")) & F.coalesce(F.col("h") == F.col("end_h"), F.lit(True)), "left")
+    both = F.array(F.struct("b", F.lit(True).alias("own")), F.struct(F.col("close").alias("b"), F.lit(False).alias("own")))
     rows = rows.select("d", "h", "doc_id", "text", F.inline(F.filter(both, lambda x: x.b.isNotNull())))
-    return (rows.repartition(max(buckets, 1), "b").sortWithinPartitions("b", F.desc("own"), "d", "h").select("b", "doc_id", "text", "own").mapInArrow(_walk, _OUT))
+    return (rows.repartitionById(buckets, "b").sortWithinPartitions("b", F.desc("own"), "d", "h").select("b", "doc_id", "text", "own").mapInArrow(_walk, _OUT))
 
 
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
