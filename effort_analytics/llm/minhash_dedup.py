@@ -8,15 +8,14 @@
 * A bucket proposes the edges of a star: its smallest node against all others. The stars come from
   one pass over (bucket, node) in sorted order; a bucket that several tasks share is a star of each
   task's part and one of their centres. Links are confirmed on the full sets.
-* A star can't see links between two nodes of which neither is like its centre. The nodes of
-  buckets that aren't in one component after the stars are therefore joined exactly, by prefixes: a
-  set's shingles are ordered by how many of these nodes have them, and two alike sets share one of
-  the first ``n - ceil(n * percent / 100) + 1``. Only groups by such a shingle that hold several
-  components go on, equal groups once; nodes that differ in their rare shingles never meet.
-* The groups are gathered in clusters (nodes that groups join) and dealt to pairs of blocks of ``BLOCK``
-  nodes at most, in which the sizes of all intersections come from a product of incidence matrices. A
-  pair of blocks emits a spanning forest of its links, never pairs. Of a cluster of more than ``cluster``
-  nodes each group is solved alone, which finds the same links, as alike sets share a group.
+* A star can't see links between two nodes of which neither is like its centre. The buckets whose
+  nodes aren't in one component after the stars are therefore solved exactly, of buckets with the same
+  nodes one. First prefixes are compared: a set's shingles are ordered by how many of these nodes have
+  them, and two alike sets share one of the first ``n - ceil(n * percent / 100) + 1``. Nodes that share none
+  with a node of their bucket from another component leave it.
+* The nodes that stay are dealt to pairs of blocks of ``BLOCK`` nodes at most, in which the sizes of all
+  intersections come from a product of incidence matrices. A pair of blocks emits a spanning forest
+  of its links, never pairs. So the links are those that the bands propose, in buckets of any size.
 * Components come from star contraction on the confirmed links, and are then mapped to their first
   node by (smallest doc_id, hash).
 """
@@ -280,47 +279,39 @@ def _tokens(k: int):
     return run
 
 
-def prefix_groups(texts: DataFrame, label: DataFrame, k: int, percent: int) -> DataFrame:
-    """(key, d, u) of the nodes (d, text) by the shingles (key) of their prefixes, ``u`` the group's smallest
-    node: groups of several components (d, c), and of equal groups one. Two nodes of different
-    components whose sets are alike are in at least one group together.
-
-    Shingles of one node only come first in its order and are left out early: they take their
-    places of the prefix, but join nothing.
-    """
+def prefixes(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(d, t) of the shingles t in the prefixes of the nodes (d, text). Shingles of one node only
+    come first in its order and are left out: they take places of the prefix, but join nothing."""
     tokens = staged(texts.mapInArrow(_tokens(k), "d long, n long, key long"), "shingles")
     shared = staged(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
     sets = tokens.join(shared, "key").groupBy("d", "n").agg(F.sort_array(F.collect_list(F.struct("m", "key"))).alias("s"))
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    if_shared = F.greatest(prefix - (F.col("n") - F.size("s")), F.lit(0)).cast("int")
-    rows = sets.select("d", F.explode(F.slice("s", F.lit(1), if_shared)).alias("t")).select("d", F.col("t.key").alias("key"))
-    rows = staged(rows.join(label, "d", "left").select("key", "d", F.coalesce("c", "d").alias("c")), "prefixes")
-    groups = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("d").alias("u"), F.count(F.lit(1)).alias("m"),
-                                     F.bit_xor(F.xxhash64("d")).alias("all")).where("x <> y")
-    groups = staged(groups.groupBy("m", "u", "all").agg(F.min("key").alias("key")).select("key", "u"), "groups")
-    return rows.join(groups, "key").select("key", "d", "u")
-
-
-def _exact(nodes: DataFrame, texts: DataFrame, label: DataFrame, k: int, percent: int, cluster: int) -> DataFrame:
-    """Links that join components (d, c) of the ``nodes`` (d)."""
-    texts = staged(texts.join(nodes.hint("merge"), "d", "left_semi"), "unsettled")
-    left = staged(prefix_groups(texts, label, k, percent), "left")
-    joined = components(left.select(F.col("d").alias("u"), F.col("u").alias("v")))
-    own = left.select("d").distinct().join(joined, "d", "left").select("d", F.coalesce("c", "d").alias("g"))
-    sizes = staged(own.groupBy("g").agg(F.count(F.lit(1)).alias("m")), "clusters")
-    small = own.join(sizes.where(F.col("m") <= cluster), "g").select("g", "d", "m")
-    big = own.join(sizes.where(F.col("m") > cluster), "g").select("d")
-    keys = left.join(big, "d", "left_semi").select(F.col("key").alias("g"), "d")
-    many = staged(keys.groupBy("g").agg(F.count(F.lit(1)).alias("m")), "large")
-    nodes = small.unionByName(keys.join(many, "g").select("g", "d", "m"))
+    length = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
+    places = F.greatest(length - (F.col("n") - F.size("s")), F.lit(0)).cast("int")
+    return sets.select("d", F.explode(F.slice("s", F.lit(1), places)).alias("t")).select("d", F.col("t.key").alias("t"))
+
+
+def unsettled(left: DataFrame, texts: DataFrame, label: DataFrame, k: int, percent: int) -> DataFrame:
+    """(key, d) of the nodes of buckets (key, d) that may be like a node of another component (d, c) in
+    their bucket: those that share a shingle of their prefixes with one."""
+    own = staged(prefixes(texts, k, percent).join(label, "d", "left").select("d", "t", F.coalesce("c", "d").alias("c")), "prefixes")
+    rows = staged(left.join(own, "d").select("key", "t", "d", "c"), "places")
+    live = staged(rows.groupBy("key", "t").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key", "t"), "live")
+    return rows.join(live, ["key", "t"], "left_semi").select("key", "d").distinct()
+
+
+def _exact(left: DataFrame, texts: DataFrame, label: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links that join components (d, c) of nodes in the same bucket (key, d)."""
+    left = staged(unsettled(left, texts, label, k, percent), "unsettled")
+    sizes = staged(left.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "sizes")
     blocks = F.ceil(F.col("m") / BLOCK)
-    nodes = nodes.withColumn("b", F.pmod(F.xxhash64("d"), blocks)).select("g", "d", "b", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("x"))
+    nodes = left.join(sizes, "key").withColumn("b", F.pmod(F.xxhash64("d"), blocks))
+    nodes = nodes.select(F.col("key").alias("g"), "d", "b", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("x"))
     nodes = nodes.select("g", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), "b", "d")
     rows = nodes.join(texts, "d").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "d")
     return rows.mapInArrow(_solve_blocks(k, percent), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: int = 32, rows: int = 5, cluster: int = 4096,
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: int = 32, rows: int = 5,
                     id_col: str = "doc_id", text_col: str = "text", row_keys: bool = False) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest id that confirmed links
     reach, its own included), kept (whether that is its own, and of several sets with that id in the
@@ -351,10 +342,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, bands: in
     links = staged(confirmed(staged(pairs, "pairs"), texts, k, percent), "links")
     label = components(links)
     left = left.select("key", "d").join(label, "d", "left").select("key", "d", F.coalesce("c", "d").alias("c"))
-    mixed = staged(left.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key"), "mixed")
-    open_ = staged(left.join(mixed, "key", "left_semi").select("d").distinct(), "open")
-    if not open_.isEmpty():
-        links = staged(links.unionByName(_exact(open_, texts, label, k, percent, cluster)), "links")
+    mixed = left.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("d").alias("u"), F.count(F.lit(1)).alias("m"),
+                                    F.bit_xor(F.xxhash64("d")).alias("all")).where("x <> y")
+    mixed = staged(mixed.groupBy("u", "m", "all").agg(F.min("key").alias("key")).select("key"), "mixed")
+    left = staged(left.join(mixed, "key", "left_semi").select("key", "d").distinct(), "open")
+    if not left.isEmpty():
+        some = staged(texts.join(left.select("d").distinct().hint("merge"), "d", "left_semi"), "open-texts")
+        links = staged(links.unionByName(_exact(left, some, label, k, percent)), "links")
         label = components(links)
     # Tables to join with are written first, so that Spark can split a hot component.
     own = staged(sets.select("x", "y", "n", F.col("d").alias("least"), F.col("node").alias("d")).join(label, "d", "left")

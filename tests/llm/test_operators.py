@@ -88,9 +88,9 @@ def test_substring_dedup(docs, sizes):
     assert _rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(exp, key=repr)
 
 
-@pytest.mark.parametrize("cluster", [4096, 3])
-def test_near_duplicates(docs, cluster, monkeypatch):
-    monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
+@pytest.mark.parametrize("block", [256, 4, 2])
+def test_near_duplicates(docs, block, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", block)
     own = docs.where("doc_id IS NOT NULL AND doc_id <> 3")
     sets = {}
     for d, t in _documents():
@@ -104,7 +104,7 @@ def test_near_duplicates(docs, cluster, monkeypatch):
                 o = len(sets[a] & sets[b])
                 if o and 100 * o >= 80 * len(sets[a] | sets[b]):
                     group[a] = group[b] = min(group[a], group[b])
-    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(own, 2, cluster=cluster).collect()}
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(own, 2).collect()}
     assert got == {(d, len(sets[d]), group[d], group[d] == d) for d in ids}
     assert minhash_dedup.near_duplicates(docs).count() == len(ROWS)
 
