@@ -15,7 +15,7 @@
   with a node of their bucket from another component leave it.
 * The nodes that stay are dealt to pairs of blocks of ``BLOCK`` nodes at most, in which the sizes of all
   intersections come from a product of incidence matrices. A pair of blocks emits a spanning forest
-  of its links, never pairs. So the links are those that the bands propose, in buckets of any size.
+  of the components that its links join, never pairs. So the links are those that the bands propose, in buckets of any size.
 * Components come from star contraction on the confirmed links, and are then mapped to their first
   node by (smallest doc_id, hash).
 """
@@ -232,26 +232,29 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _solve_blocks(k: int, percent: int):
-    """Links within and between the two blocks of rows (g, i, j, d, b, text), sorted by (g, i, j)."""
+    """Links that join components c within and between the two blocks of rows (g, i, j, d, c, b, text), sorted
+    by (g, i, j): a spanning forest of the components, each named by its c."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def solve(nodes):
-        ids, sets = [d for d, _, _ in nodes], [s for _, _, s in nodes]
+        sets = [s for _, _, s in nodes]
+        names, of = np.unique(np.array([c for c, _, _ in nodes], np.int64), return_inverse=True)
         block = np.array([b for _, b, _ in nodes])
         same = block.min() == block.max()
         one = np.flatnonzero(block == block.min())
         two = one if same else np.flatnonzero(block != block.min())
         n = np.array([len(s) for s in sets])
         o = overlaps([sets[x] for x in one], [sets[x] for x in two])
-        linked = np.zeros((len(ids), len(ids)), bool)
-        linked[np.ix_(one, two)] = 100 * o >= percent * (n[one][:, None] + n[two][None, :] - o)
+        x, y = np.nonzero(100 * o >= percent * (n[one][:, None] + n[two][None, :] - o))
+        linked = np.zeros((len(names), len(names)), bool)
+        linked[of[one[x]], of[two[y]]] = True
         edges = forest(linked | linked.T)
-        return batch_of(schema, u=[ids[i] for i, _ in edges], v=[ids[j] for _, j in edges])
+        return batch_of(schema, u=[names[i] for i, _ in edges], v=[names[j] for _, j in edges])
 
     def run(batches):
         at, nodes = None, []
         for batch in batches:
-            who = list(zip(*(batch.column(c).to_pylist() for c in ("g", "i", "j", "d", "b")), strict=True))
+            who = list(zip(*(batch.column(c).to_pylist() for c in ("g", "i", "j", "c", "b")), strict=True))
             for i, j, data, off in slices(batch.column("text")):
                 values, cut = shingle_sets(data, off, k)
                 for r in range(i, j):
@@ -300,13 +303,13 @@ def unsettled(left: DataFrame, texts: DataFrame, label: DataFrame, k: int, perce
 
 
 def _exact(left: DataFrame, texts: DataFrame, label: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links that join components (d, c) of nodes in the same bucket (key, d)."""
+    """Links that join components (d, c) of nodes in the same bucket (key, d), from component to component."""
     left = staged(unsettled(left, texts, label, k, percent), "unsettled")
     sizes = staged(left.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "sizes")
     blocks = F.ceil(F.col("m") / BLOCK)
-    nodes = left.join(sizes, "key").withColumn("b", F.pmod(F.xxhash64("d"), blocks))
-    nodes = nodes.select(F.col("key").alias("g"), "d", "b", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("x"))
-    nodes = nodes.select("g", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), "b", "d")
+    nodes = left.join(sizes, "key").join(label, "d", "left").withColumn("c", F.coalesce("c", "d")).withColumn("b", F.pmod(F.xxhash64("d"), blocks))
+    nodes = nodes.select(F.col("key").alias("g"), "d", "c", "b", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("x"))
+    nodes = nodes.select("g", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), "b", "d", "c")
     rows = nodes.join(texts, "d").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "d")
     return rows.mapInArrow(_solve_blocks(k, percent), "u long, v long")
 
