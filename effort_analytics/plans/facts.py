@@ -17,6 +17,7 @@ from ..functions import (bracketed, code_found_flag, full_name, not_like_prefix,
                          productivity_class, year_month)
 from ..operators.joins import join_bounded
 from ..operators.lookup import BROADCAST_BYTES, Lookup, join_lookup, measure_lookups
+from ..session import staged
 
 TASK_FACT_COLUMNS = [
     "Title", "Date", "DateKey", "DateYear", "DateMonthName", "DateMonthNum", "DateYearMonthKey",
@@ -30,6 +31,12 @@ TASK_LEAVE_FACT_COLUMNS = [
     "Hours", "WorkdayIDYearMonthKey", "TargetHours", "TotalHoursToDeduct", "FinalTargetHours",
 ]
 
+#: Of the task-and-leave fact what a sum by member and month can be grouped by, and the sum.
+TASK_LEAVE_MONTH_COLUMNS = [
+    "DateYear", "DateMonthName", "DateYearMonthKey", "AssignedTo", "Role", "Squad", "ManagerName",
+    "WorkdayID", "Hours", "TargetHours", "TotalHoursToDeduct", "FinalTargetHours",
+]
+
 _CAL_COLS = ["DateShort", "DateKey", "DateYear", "DateMonthName", "DateMonthNum"]
 
 
@@ -165,8 +172,9 @@ _MEMBER = ["AssignedTo", "Role", "Squad", "ManagerName", "WorkdayID"]
 
 
 def _person() -> Column:
-    """Names a member by what a fact shows: members that look alike there are one."""
-    return F.sha2(F.to_json(F.struct(*_MEMBER), {"ignoreNullFields": "false"}), 256)
+    """Names a member by what a fact shows: members that look alike there are one. Where two that
+    differ share a hash, :func:`_people` isn't unique by it, and the plain form runs."""
+    return F.xxhash64(F.to_json(F.struct(*_MEMBER), {"ignoreNullFields": "false"}))
 
 
 def _keyed(members: DataFrame, key: str) -> DataFrame:
@@ -191,6 +199,10 @@ def _months(calendar: DataFrame, min_year: int) -> DataFrame:
     return calendar.where(F.col("DateYear") >= min_year).select(year_month("DateShort").alias("YearMonth")).distinct()
 
 
+def _hours_of(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("Hours").alias("Hours"))
+
+
 def target_lookup(expected: DataFrame, planned: DataFrame, people: Lookup, months: Lookup) -> Lookup:
     """(WorkdayID, YearMonth) -> TargetHours, TotalHoursToDeduct, for the workers of ``people`` and these
     months: one row a worker and month that has either, so that their numbers bound its size."""
@@ -206,7 +218,7 @@ def target_lookup(expected: DataFrame, planned: DataFrame, people: Lookup, month
 
 
 def _unique(lookups: dict[str, Lookup]) -> bool:
-    return all(x.unique and x.fits() for x in lookups.values())
+    return all(x.unique for x in lookups.values())
 
 
 def task_fact(tasks: DataFrame, members: DataFrame, calendar: DataFrame, buckets: DataFrame, planner_codes: DataFrame,
@@ -214,10 +226,10 @@ def task_fact(tasks: DataFrame, members: DataFrame, calendar: DataFrame, buckets
               admin: str = C.ADMIN_CATEGORY, leads: str = C.LEADS_CODE, calendar_rows_bound: int | None = None) -> DataFrame:
     """The rows of :func:`publish_task_fact`, with the lookups measured first.
 
-    Where they fit a broadcast and have one row a key, the fact is reduced to what tells its rows
-    apart (title, date, category, code, hours and a hash that names the member), these six columns
-    are made distinct, and the rest is looked up for what is left. Each column that comes later
-    depends on those six alone, so the result is the same; nothing is exchanged on a lookup's key. Else
+    Where they have one row a key, the fact is reduced to what tells its rows apart (title, date,
+    category, code, hours and a hash that names the member), these six columns are made distinct, and
+    the rest is looked up for what is left. Each column that comes later depends on those six alone,
+    so the result is the same; nothing is exchanged on the key of a lookup that fits a broadcast. Else
     the plain form runs.
     """
     codes = planner_codes.select(F.col("Code").alias("key"), F.col("Code").alias("PlannerCodeKey"), F.col("Name").alias("PlannerName"))
@@ -239,15 +251,19 @@ def task_and_leave_fact(tasks: DataFrame, leaves: DataFrame, members: DataFrame,
                         productivity_types: DataFrame, expected: DataFrame, planned: DataFrame, *,
                         min_year: int = C.MIN_REPORT_YEAR, completed: int = C.COMPLETED_PROGRESS,
                         holiday_prefix: str = C.HOLIDAY_LEAVE_PREFIX, admin: str = C.ADMIN_CATEGORY, leads: str = C.LEADS_CODE,
-                        keep_duplicates: bool = False, tasks_unique: bool = False,
+                        keep_duplicates: bool = False, tasks_unique: bool = False, monthly: bool = False,
                         date_range: tuple[dt.date, dt.date] | None = None, calendar_rows_bound: int | None = None) -> DataFrame:
     """The rows of :func:`task_leave_rows` and :func:`publish_task_leave_fact`, with the lookups
     measured first.
 
-    Where they fit a broadcast and have one row a key, duplicates go while a row is (task id, date,
-    category, code, hours, hash of the member): that decides all other columns. With ``tasks_unique``
-    (one row a task id) only leave rows, and tasks without an id, are compared at all. Else the
-    plain form runs.
+    Where they have one row a key, duplicates go while a row is (task id, date, category, code,
+    hours, hash of the member): that decides all other columns. With ``tasks_unique`` (one row a
+    task id) only leave rows, and tasks without an id, are compared at all; the narrow task rows
+    are staged, as they are read for both kinds. Else the plain form runs.
+
+    ``monthly``: for readers that only sum hours by columns of the member and the month. The hours
+    of a member and month are summed while a row is these and the member's hash, and targets and
+    attributes are looked up for the sums (``TASK_LEAVE_MONTH_COLUMNS``).
     """
     x = measure_lookups(account=(_keyed(members, "Office365ID"), "key"), worker=(_keyed(members, "WorkdayID"), "key"), people=(_people(members), "_person"),
                         category=(_categories(buckets), "key"), kind=(_types(productivity_types), "key"), day=(_calendar_part(calendar, min_year), "DateShort"),
@@ -255,8 +271,9 @@ def task_and_leave_fact(tasks: DataFrame, leaves: DataFrame, members: DataFrame,
     if not _unique(x):
         rows = task_leave_rows(tasks, leaves, members, buckets, calendar, completed=completed, holiday_prefix=holiday_prefix,
                                tasks_unique=tasks_unique, date_range=date_range, calendar_rows_bound=calendar_rows_bound)
-        return publish_task_leave_fact(rows, calendar, productivity_types, expected, planned, min_year=min_year, admin=admin,
+        fact = publish_task_leave_fact(rows, calendar, productivity_types, expected, planned, min_year=min_year, admin=admin,
                                        leads=leads, keep_duplicates=keep_duplicates, calendar_rows_bound=calendar_rows_bound)
+        return _hours_of(fact, [c for c in TASK_LEAVE_MONTH_COLUMNS if c != "Hours"]).select(*TASK_LEAVE_MONTH_COLUMNS) if monthly else fact
     t = tasks.where((F.col("Progress") == completed) & (F.col("TC_ProductiveDate") >= _year_start(min_year)))
     lv = leaves.where((F.col("TimeOffDate") >= _year_start(min_year)) & not_like_prefix("TimeOffTypeforTimeOffEntry", holiday_prefix))
     if date_range is not None:
@@ -274,17 +291,21 @@ def task_and_leave_fact(tasks: DataFrame, leaves: DataFrame, members: DataFrame,
     if keep_duplicates:
         rows = t.unionByName(lv)
     elif tasks_unique:
+        t = staged(t, "task-rows")
         named = F.coalesce(F.col("TaskID") != "", F.lit(False))
         rows = t.where(named).unionByName(t.where(~named).unionByName(lv).distinct())
     else:
         rows = t.unionByName(lv).distinct()
-    j = join_lookup(join_lookup(rows, x["day"], "Date", "inner"), x["kind"], "Category", "left")
-    j = join_lookup(j, x["people"], "_person", "inner").withColumn("YearMonth", year_month("Date"))
+    j = join_lookup(rows, x["day"], "Date", "inner").withColumn("YearMonth", year_month("Date"))
+    j = _hours_of(j, ["_person", "YearMonth", "DateYear", "DateMonthName", "DateYearMonthKey"]) if monthly else join_lookup(j, x["kind"], "Category", "left")
+    j = join_lookup(j, x["people"], "_person", "inner")
     j = join_lookup(j, target_lookup(expected, planned, x["people"], x["month"]), ["WorkdayID", "YearMonth"], "left")
     deduct = F.coalesce(F.col("TotalHoursToDeduct"), F.lit(0))
+    j = j.withColumn("FinalTargetHours", F.col("TargetHours") - deduct).withColumn("TotalHoursToDeduct", deduct)
+    if monthly:
+        return j.select(*TASK_LEAVE_MONTH_COLUMNS)
     return j.select("*", productivity_class("Category", "PlannerCode", "_ptype", admin, leads).alias("ProductivityType"),
-                    F.concat(F.col("WorkdayID").cast("string"), F.col("DateYearMonthKey")).alias("WorkdayIDYearMonthKey"),
-                    (F.col("TargetHours") - deduct).alias("FinalTargetHours")).withColumn("TotalHoursToDeduct", deduct).select(*TASK_LEAVE_FACT_COLUMNS)
+                    F.concat(F.col("WorkdayID").cast("string"), F.col("DateYearMonthKey")).alias("WorkdayIDYearMonthKey")).select(*TASK_LEAVE_FACT_COLUMNS)
 
 
 def distinct_full_names(people: DataFrame) -> DataFrame:

@@ -26,11 +26,12 @@ FACT_COLUMNS = ("Date:date, DateKey:bigint, DateYear:bigint, DateMonthName:strin
                 "TotalHoursToDeduct:double, FinalTargetHours:double")
 
 
-def task_leave_fact(spark, sf_dir, *, date_range=None):
+def task_leave_fact(spark, sf_dir, *, date_range=None, monthly=False):
     """The published task-and-leave fact over the analogue inputs.
 
     With ``date_range`` every input is restricted to those dates first (only
-    valid for readers that filter the fact to the same dates)."""
+    valid for readers that filter the fact to the same dates); ``monthly`` sums
+    the hours of a member and month before the attributes are joined."""
     t = A.Tables(spark, sf_dir, stage=True)
     members = A.members(t)
     calendar = A.calendar(spark)
@@ -43,7 +44,7 @@ def task_leave_fact(spark, sf_dir, *, date_range=None):
     expected = targets.expected_hours(members, calendar, A.AS_OF, A.MIN_YEAR, months=months)
     planned = targets.planned_leave_deduction(dated, calendar, calendar_rows_bound=A.CAL_ROWS)
     return facts.task_and_leave_fact(A.tasks(t), leaves, members, A.buckets(t), calendar, A.productivity_types(t),
-                                     expected, planned, min_year=A.MIN_YEAR, leads=A.LEADS, tasks_unique=True,
+                                     expected, planned, min_year=A.MIN_YEAR, leads=A.LEADS, tasks_unique=True, monthly=monthly,
                                      date_range=date_range, calendar_rows_bound=A.CAL_ROWS)
 
 
@@ -77,7 +78,7 @@ GROUP BY DateYearMonthKey, DateYear, DateMonthName, AssignedTo, WorkdayID, Squad
 def agg_sum_by_keys(spark, sf_dir):
     keys = ["DateYearMonthKey", "DateYear", "DateMonthName", "AssignedTo", "WorkdayID", "Squad",
             "ManagerName", "FinalTargetHours"]
-    return task_leave_fact(spark, sf_dir).groupBy(*keys).agg(F.sum("Hours").alias("TotalHours"))
+    return task_leave_fact(spark, sf_dir, monthly=True).groupBy(*keys).agg(F.sum("Hours").alias("TotalHours"))
 
 
 @query("publish_task_fact",
