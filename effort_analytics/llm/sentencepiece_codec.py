@@ -10,6 +10,9 @@ Where no piece of the vocabulary crosses a place - one that has the space mark o
 can't cross the end of a word - all paths meet at once: what stands between two such places is
 encoded by itself and remembered in a cache of bounded size.
 
+A piece whose own text has a better segmentation by other pieces is on no best path (that
+segmentation could take its place), so the trie leaves it out; ids decode by all pieces.
+
 Characters outside the vocabulary become their UTF-8 bytes' pieces. A literal space mark (U+2581)
 is always spelt by its bytes, so that decoding restores every text exactly.
 """
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,25 +37,97 @@ _NEVER = float("-inf")
 
 class Vocabulary:
     """Pieces and scores of a model file, as a trie: a node is (map of characters to nodes, id and
-    score of the piece that ends there, or None). ``bytes_``: the ids of the 256 byte pieces."""
+    score of the piece that ends there, or None). ``bytes_``: the ids of the 256 byte pieces.
+    ``chosen``: the pieces that a best path can have, where :func:`_chosen` has found them before."""
 
-    def __init__(self, pieces: list[tuple[str, float, int]], bytes_: list[int], cache: int = 200_000):
-        used = [(p, s, i) for p, s, i in pieces if _MARK not in p.lstrip(_MARK)]
-        self.longest = max((len(p) for p, _, _ in used), default=1)
+    def __init__(self, pieces: list[tuple[str, float, int]], bytes_: list[int], cache: int = 200_000,
+                 chosen: list[tuple[str, float, int]] | None = None):
         self.bytes_ = bytes_
         self.text = {i: p.replace(_MARK, " ").encode() for p, _, i in pieces} | {b: bytes([k]) for k, b in enumerate(bytes_)}
-        self.low = min((s for _, s, _ in used), default=0.0) - 10.0  # of one byte piece
+        self.low = _low(pieces)
+        self.cost = _ByteCosts(self.low)
+        used = _chosen(pieces) if chosen is None else chosen
+        self.longest = max((len(p) for p, _, _ in used), default=1)
         nodes: dict[str, dict] = {"": {}}
         ends = {p: (i, score) for p, score, i in used}
         for p in sorted({p[:k] for p, _, _ in used for k in range(1, len(p) + 1)}, key=len):
             nodes[p] = {}
             nodes[p[:-1]][p[-1]] = (nodes[p], *ends.get(p, (None, None)))
         self.trie = nodes[""]
+        self.start = _State.over(used, self.cost)
         self.units = _units({p for p, _, _ in used})
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}  # ids as int32
         self.cache_size = cache
 
 
+class _ByteCosts(dict):
+    """Score of a character spelt by its bytes."""
+
+    def __init__(self, low: float):
+        self.low = low
+
+    def __missing__(self, c: str) -> float:
+        self[c] = cost = self.low * len(c.encode())
+        return cost
+
+
+def _low(pieces: list[tuple[str, float, int]]) -> float:
+    """Score of one byte piece: below that of any other."""
+    return min((s for p, s, _ in pieces if _MARK not in p.lstrip(_MARK)), default=0.0) - 10.0
+
+
+def _chosen(pieces: list[tuple[str, float, int]]) -> list[tuple[str, float, int]]:
+    """The pieces that a best path can have: those with the space mark only at their start, without
+    those whose text other pieces (of these, which suffices, or bytes) spell at a higher score. A tie
+    keeps a piece. Sums of whole numbers are exact; with others a piece stays unless the rest is
+    better by more than rounding can make."""
+    used = {p: (p, s, i) for p, s, i in pieces if _MARK not in p.lstrip(_MARK)}
+    cost = _ByteCosts(_low(pieces))
+    slack = 0.0 if all(s == int(s) for _, s, _ in used.values()) else 1e-6 * max(abs(s) for _, s, _ in used.values())
+    kept: dict[str, tuple[str, float, int]] = {}
+    longest = 1
+    for p in sorted(used, key=len):
+        score = [0.0]
+        for e in range(1, len(p) + 1):
+            found = [score[-1] + cost[p[e - 1]]]
+            found += [score[s] + kept[p[s:e]][1] for s in range(max(0, e - longest), e) if p[s:e] in kept]
+            score.append(max(found))
+        if score[-1] <= used[p][1] + slack:
+            kept[p] = used[p]
+            longest = len(p)
+    return list(kept.values())
+
+
+class _State(dict):
+    """The longest end of the characters read so far that begins a piece; maps a character to the next
+    such state. ``ends``: (length, score, id) of the pieces that end here, longest first; where no
+    piece is the last character alone, its bytes (the character as id) come last."""
+
+    __slots__ = ("name", "ends", "every")
+
+    def __init__(self, name: str, every: dict[str, "_State"]):
+        self.name, self.every = name, every
+
+    def __missing__(self, c: str) -> "_State":
+        p = self.name + c
+        while p not in self.every:
+            p = p[1:]
+        if p and len(self) < 512:
+            self[c] = self.every[p]
+        return self.every[p]
+
+    @classmethod
+    def over(cls, pieces: list[tuple[str, float, int]], cost: dict[str, float]) -> "_State":
+        known = {p: (len(p), s, i) for p, s, i in pieces}
+        every: dict[str, _State] = {}
+        for p in {""} | {p[:k] for p in known for k in range(1, len(p) + 1)}:
+            every[p] = cls(p, every)
+        for p, state in every.items():
+            ends = [known[p[k:]] for k in range(len(p)) if p[k:] in known]
+            state.ends = (*ends, *([(1, cost[p[-1]], p[-1])] if p and p[-1] not in known else []))
+        return every[""]
+
+
 def load(path: str = MODEL) -> dict:
     """What a task needs of a model file: its pieces with scores, and its byte pieces."""
     import sentencepiece
@@ -60,7 +136,7 @@ def load(path: str = MODEL) -> dict:
     plain = [(model.id_to_piece(i), model.get_score(i), i) for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))]
     by_name = {model.id_to_piece(i): i for i in range(n) if model.is_byte(i)}
     bytes_ = [by_name[f"<0x{k:02X}>"] for k in range(256)]
-    return {"pieces": plain, "bytes_": bytes_}
+    return {"pieces": plain, "bytes_": bytes_, "chosen": _chosen(plain)}
 
 
 def _units(pieces: set[str]) -> re.Pattern:
@@ -170,29 +246,29 @@ def _best(unit: str, v: Vocabulary) -> list[int]:
     if len(unit) > _SHORT or _MARK in unit:
         coder = StreamingViterbi(v)
         return coder.push(_MARK * marks + unit[marks:], marks) + coder.finish()
-    n, low = len(unit), v.low
-    chars = _MARK * marks + unit[marks:]
-    score, back = [0.0] + [_NEVER] * n, [(0, None)] * (n + 1)
-    for s in range(n):
-        own, node = score[s], v.trie
-        t = own + low * len(chars[s].encode())
-        if t > score[s + 1]:
-            score[s + 1], back[s + 1] = t, (s, chars[s])
-        for e in range(s, n):
-            hit = node.get(chars[e])
-            if hit is None:
-                break
-            node, piece, gain = hit
-            if piece is not None:
-                t = own + gain
-                e += 1
-                if t > score[e] or t == score[e] and back[e][0] == s:
-                    score[e], back[e] = t, (s, piece)
+    state, score, back = v.start, [0.0], []
+    for c in _MARK * marks + unit[marks:]:
+        state = state[c]
+        if not state.ends:  # a character of no piece
+            score.append(score[-1] + v.cost[c])
+            back.append((1, c))
+            continue
+        best = _NEVER
+        for k, gain, piece in state.ends:
+            t = score[-k] + gain
+            if t > best:
+                best, length, last = t, k, piece
+        score.append(best)
+        back.append((length, last))
     ids: list[int] = []
-    at = n
+    at = len(back)
     while at:
-        at, piece = back[at]
-        ids.extend([v.bytes_[b] for b in reversed(piece.encode())] if isinstance(piece, str) else (piece,))
+        length, piece = back[at - 1]
+        at -= length
+        if isinstance(piece, str):
+            ids.extend([v.bytes_[b] for b in reversed(piece.encode())])
+        else:
+            ids.append(piece)
     return ids[::-1]
 
 
@@ -200,22 +276,21 @@ def encode(text: str, v: Vocabulary) -> np.ndarray:
     """Ids of a text, with a space put before it; of an empty text none."""
     if not text:
         return np.zeros(0, np.int32)
-    out = []
-    cache = v.cache
-    for unit in v.units.findall(" " + text):
-        ids = cache.get(unit)
-        if ids is None:
-            ids = _best(unit, v)
-            if len(unit) <= _SHORT:
-                if len(cache) >= v.cache_size:
-                    cache.clear()
-                cache[unit] = ids
-        out += ids
-    return np.array(out, np.int32)
+    units, cache = v.units.findall(" " + text), v.cache
+    new = set(units).difference(cache)
+    for unit in new:
+        cache[unit] = array("i", _best(unit, v)).tobytes()
+    ids = np.frombuffer(b"".join(map(cache.__getitem__, units)), np.int32)
+    for unit in new:
+        if len(unit) > _SHORT:
+            del cache[unit]
+    if len(cache) > v.cache_size:
+        cache.clear()
+    return ids
 
 
 def decode(ids, v: Vocabulary) -> str:
-    return b"".join([v.text[i] for i in ids])[1:].decode("utf-8", "replace")
+    return b"".join(map(v.text.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
 _OUT = "doc_id long, n_chars long, n_tokens long, ids array<int>, ids_sha256 string, text_sha256 string, exact boolean"
