@@ -259,7 +259,8 @@ def task_and_leave_fact(tasks: DataFrame, leaves: DataFrame, members: DataFrame,
     Where they have one row a key, duplicates go while a row is (task id, date, category, code,
     hours, hash of the member): that decides all other columns. With ``tasks_unique`` (one row a
     task id) only leave rows, and tasks without an id, are compared at all; the narrow task rows
-    are staged, as they are read for both kinds. Else the plain form runs.
+    are staged, as they are read for both kinds (with ``date_range`` they are left in one plan). Else
+    the plain form runs.
 
     ``monthly``: for readers that only sum hours by columns of the member and the month. The hours
     of a member and month are summed while a row is these and the member's hash, and targets and
@@ -291,7 +292,7 @@ def task_and_leave_fact(tasks: DataFrame, leaves: DataFrame, members: DataFrame,
     if keep_duplicates:
         rows = t.unionByName(lv)
     elif tasks_unique:
-        t = staged(t, "task-rows")
+        t = staged(t, "task-rows") if date_range is None else t
         named = F.coalesce(F.col("TaskID") != "", F.lit(False))
         rows = t.where(named).unionByName(t.where(~named).unionByName(lv).distinct())
     else:
